@@ -17,7 +17,7 @@ from ..functions.scalars import (
     utilization_band,
 )
 from ..operators.keys import dense_keys, small_dense_keys
-from ..operators.skew import lookup_join
+from ..operators.skew import lookup_join, stage
 from .silver import LOAN_STATUSES
 
 MONEY_TOTAL = "decimal(28,2)"
@@ -116,16 +116,24 @@ class GoldPlan:
     """Gold tables over a function that returns a silver table by name.
 
     ``dimension`` may be replaced to read dimensions that are already stored.
+    With ``staged``, every gold table is staged, for plans that read it several times.
     """
 
-    def __init__(self, silver: Callable[[str], DataFrame], dimension: Callable[[str], DataFrame] | None = None):
+    def __init__(
+        self,
+        silver: Callable[[str], DataFrame],
+        dimension: Callable[[str], DataFrame] | None = None,
+        staged: bool = False,
+    ):
         self.silver = silver
+        self.staged = staged
         self.stored_dimension = dimension
         self._made: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         if name not in self._made:
-            self._made[name] = getattr(self, name)()
+            made = getattr(self, name)()
+            self._made[name] = stage(made) if self.staged else made
         return self._made[name]
 
     def dimension(self, name: str) -> DataFrame:

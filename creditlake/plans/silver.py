@@ -20,6 +20,7 @@ from ..functions.scalars import (
 )
 from ..operators.keys import latest_per_key
 from ..operators.rules import RuleSet, accept, check, reject, to_silver
+from ..operators.skew import stage
 
 # The states a loan may be in.
 LOAN_STATUSES = ("ACTIVE", "CLOSED", "OVERDUE", "DEFAULTED")
@@ -143,10 +144,15 @@ SILVER_ORDER = tuple(RULES)
 
 
 class SilverPlan:
-    """Lazy silver layer over bronze frames; nothing runs until a frame is used."""
+    """Silver layer over bronze frames; nothing runs until a frame is used.
 
-    def __init__(self, bronze: Mapping[str, DataFrame]):
+    With ``staged``, the checked rows of each table are staged when first asked
+    for. That pays when one plan reads a table several times.
+    """
+
+    def __init__(self, bronze: Mapping[str, DataFrame], staged: bool = False):
         self.bronze = bronze
+        self.staged = staged
         self._checked: dict[str, DataFrame] = {}
         self._tables: dict[str, DataFrame] = {}
 
@@ -154,7 +160,8 @@ class SilverPlan:
         if table not in self._checked:
             rules = RULES[table]
             parents = {parent: self.table(parent) for _, parent in rules.parents}
-            self._checked[table] = check(self.bronze[table], rules, parents)
+            checked = check(self.bronze[table], rules, parents)
+            self._checked[table] = stage(checked) if self.staged else checked
         return self._checked[table]
 
     def table(self, table: str) -> DataFrame:
@@ -163,7 +170,7 @@ class SilverPlan:
         return self._tables[table]
 
     def quarantine(self, table: str) -> DataFrame:
-        return reject(self.checked(table), RULES[table])
+        return reject(self.checked(table), RULES[table], self.staged)
 
 
 # The warehouse form of silver: the newest version of each key, checked for the

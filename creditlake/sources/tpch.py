@@ -196,21 +196,7 @@ class TpchExtracts(Mapping):
 
     def movements(self) -> DataFrame:
         """Events as transactions, with numeric amount and event id and time."""
-        kind = F.col("event_type")
-        name = F.lit(None).cast("string")
-        for event_type, transaction_type in TRANSACTION_TYPES.items():
-            name = F.when(kind == event_type, transaction_type).otherwise(name)
-        return self.ordered("events").select(
-            "event_id",
-            padded_id("TXN", "event_id", 8).alias("transaction_id"),
-            padded_id("CUST", "user_id", 6).alias("customer_id"),
-            F.col("ts").alias("event_time"),
-            name.alias("transaction_type"),
-            (_cents("value") * 1000).alias("amount"),
-            F.lit("mobile_app").alias("channel"),
-            F.get_json_object("props", "$.k").alias("merchant_category"),
-            "_row_seq",
-        )
+        return as_movements(self.ordered("events"), "_row_seq")
 
     def mobile_transactions(self) -> DataFrame:
         return self.movements().select(
@@ -238,9 +224,16 @@ class TpchExtracts(Mapping):
         )
 
     def stream_events(self) -> DataFrame:
-        """Transactions in the shape of stream events: text columns and a timestamp."""
-        return self.movements().select(
-            _text("event_id").alias("event_id"),
+        return self.as_stream_events(self.read("events"))
+
+    @staticmethod
+    def as_stream_events(events: DataFrame) -> DataFrame:
+        """Transactions in the shape of stream events: text columns and a timestamp.
+
+        Event ids have leading zeros, so that their text order is their number order.
+        """
+        return as_movements(events).select(
+            padded_id("", "event_id", 12).alias("event_id"),
             "transaction_id",
             "customer_id",
             "event_time",
@@ -251,6 +244,24 @@ class TpchExtracts(Mapping):
         )
 
 
+def as_movements(events: DataFrame, *keep: str) -> DataFrame:
+    kind = F.col("event_type")
+    name = F.lit(None).cast("string")
+    for event_type, transaction_type in TRANSACTION_TYPES.items():
+        name = F.when(kind == event_type, transaction_type).otherwise(name)
+    return events.select(
+        "event_id",
+        padded_id("TXN", "event_id", 8).alias("transaction_id"),
+        padded_id("CUST", "user_id", 6).alias("customer_id"),
+        F.col("ts").alias("event_time"),
+        name.alias("transaction_type"),
+        (_cents("value") * 1000).alias("amount"),
+        F.lit("mobile_app").alias("channel"),
+        F.get_json_object("props", "$.k").alias("merchant_category"),
+        *keep,
+    )
+
+
 def line_amount() -> Column:
     """Price after discount, to the cent, ties to even."""
     return round_money(_cents("l_extendedprice") * (1 - _cents("l_discount")))
