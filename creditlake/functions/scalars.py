@@ -37,7 +37,9 @@ MOVEMENT_AMOUNT = 150000
 CASH_OUT_MOVEMENT_AMOUNT = 90000
 
 MONEY = "decimal(18,2)"
-LARGEST_MONEY = "9999999999999999.99"
+
+# Numbers in text are read exactly, to 18 decimals and below 10^15.
+NUMBER = "decimal(33,18)"
 
 
 def _col(value: Column | str) -> Column:
@@ -66,11 +68,8 @@ def title(value: Column | str) -> Column:
 
 
 def parse_decimal(value: Column | str) -> Column:
-    """Exact number from text. Unparsable text, and numbers beyond the money range, give 0."""
-    number = clean(value).try_cast("decimal(38,18)")
-    return F.when(F.abs(number) <= F.lit(LARGEST_MONEY).cast("decimal(38,18)"), number).otherwise(
-        F.lit(0).cast("decimal(38,18)")
-    )
+    """Exact number from text. Unparsable text, and numbers of 10^15 or more, give 0."""
+    return F.coalesce(clean(value).try_cast(NUMBER), F.lit(0).cast(NUMBER))
 
 
 def round_money(value: Column) -> Column:
@@ -84,7 +83,7 @@ def money(value: Column | str) -> Column:
 
 def optional_money(value: Column | str) -> Column:
     """Like :func:`money`, but NULL when the text is not a number."""
-    return F.bround(clean(value).try_cast("decimal(38,18)"), 2).try_cast(MONEY)
+    return round_money(clean(value).try_cast(NUMBER))
 
 
 def whole_number(value: Column | str) -> Column:
@@ -94,7 +93,8 @@ def whole_number(value: Column | str) -> Column:
 
 def parse_date(value: Column | str) -> Column:
     """A ``yyyy-MM-dd`` date, or NULL when the text is anything else."""
-    return F.try_to_date(clean(value), "yyyy-MM-dd")
+    text = clean(value)
+    return F.when(text.rlike(r"\A\d{4}-\d{2}-\d{2}\z"), text.try_cast("date"))
 
 
 def parse_timestamp(value: Column | str) -> Column:

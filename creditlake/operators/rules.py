@@ -1,8 +1,7 @@
 """Row validation: declared rules, quarantine with reasons, first valid row wins.
 
-A table's rules are data (:class:`RuleSet`). :func:`check` evaluates everything
-that depends on one row and its parents; :func:`accept` and :func:`reject` then
-add the duplicate rule, which depends on the other rows of the same key:
+A table's rules are data (:class:`RuleSet`). Most depend on one row and its
+parents. The duplicate rule depends on the other rows of the same key:
 
 * only rows without any other fault can be the first of their key;
 * every later row with that key, faulty or not, is a duplicate.
@@ -84,20 +83,28 @@ def with_expected(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns(missing) if missing else df
 
 
-def check(bronze: DataFrame, rules: RuleSet, parents: Mapping[str, DataFrame]) -> DataFrame:
-    """``bronze`` with the key and the reasons found before and after the duplicate rule.
+def bronze_columns(df: DataFrame) -> list[str]:
+    return [*raw_columns(df), ROW_ORDER]
+
+
+def with_parents(bronze: DataFrame, rules: RuleSet, parents: Mapping[str, DataFrame]) -> DataFrame:
+    """``bronze`` with its key and, for each parent, whether the accepted keys hold the value.
 
     ``parents`` maps a table name to a frame whose accepted keys are in the
     column named like the referring column.
     """
-    coded = with_expected(bronze, rules.expected()).withColumns(
+    coded = bronze.withColumns(
         {"_key": code(rules.key), **{f"_ref_{c}": code(c) for c, _ in rules.parents}}
     )
     found = coded
     for column, table in rules.parents:
         known = parents[table].select(F.col(column).alias(f"_ref_{column}"), F.lit(True).alias(f"_has_{column}"))
         found = lookup_join(found, known, f"_ref_{column}", keys_from=coded)
+    return found
+
 
+def faults(rules: RuleSet) -> tuple[list[Reason], list[Reason]]:
+    """The reasons reported before and after the duplicate rule, over :func:`with_parents`."""
     before = (
         missing_required(*rules.required)
         + invalid_positive(*rules.positive)
@@ -107,22 +114,37 @@ def check(bronze: DataFrame, rules: RuleSet, parents: Mapping[str, DataFrame]) -
     after = [(f"unknown_{c}", F.col(f"_has_{c}").isNull()) for c, _ in rules.parents]
     if rules.event_date:
         after += unreadable_date(rules.event_date)
-    return found.withColumns({"_before": reason_text(before), "_after": reason_text(after)}).select(
-        *bronze_columns(coded), "_key", "_before", "_after"
-    )
+    return before, after
 
 
-def bronze_columns(df: DataFrame) -> list[str]:
-    return [*raw_columns(df), ROW_ORDER]
+def accept(bronze: DataFrame, rules: RuleSet, parents: Mapping[str, DataFrame]) -> DataFrame:
+    """The first faultless row of every key, still with raw values.
+
+    Every rule is a filter of its own, so the cheap ones run in the scan and the
+    referential ones turn the lookups into inner joins.
+    """
+    bronze = with_expected(bronze, rules.expected())
+    found = with_parents(bronze, rules, parents)
+    before, after = faults(rules)
+    for _, test in before + after:
+        found = found.filter(~test)
+    return first_per_key(found.select(*bronze_columns(bronze), "_key"), "_key", ROW_ORDER)
 
 
-def faultless() -> Column:
-    return (F.col("_before") == "") & (F.col("_after") == "")
+def check(bronze: DataFrame, rules: RuleSet, parents: Mapping[str, DataFrame]) -> DataFrame:
+    """Every row with its key and the reasons before and after the duplicate rule."""
+    bronze = with_expected(bronze, rules.expected())
+    found = with_parents(bronze, rules, parents)
+    before, after = faults(rules)
+    return found.select(
+        *bronze_columns(bronze), "_key", reason_text(before).alias("_before"), reason_text(after).alias("_after")
+    )
 
 
-def accept(checked: DataFrame) -> DataFrame:
-    """The first faultless row of every key, still with raw values."""
-    return first_per_key(checked.filter(faultless()), "_key", ROW_ORDER)
+def accept_checked(checked: DataFrame) -> DataFrame:
+    """:func:`accept` for rows that :func:`check` has already been over."""
+    faultless = (F.col("_before") == "") & (F.col("_after") == "")
+    return first_per_key(checked.filter(faultless), "_key", ROW_ORDER)
 
 
 def to_silver(accepted: DataFrame, rules: RuleSet) -> DataFrame:
@@ -136,7 +158,7 @@ def to_silver(accepted: DataFrame, rules: RuleSet) -> DataFrame:
 
 def explain_rows(checked: DataFrame, rules: RuleSet) -> DataFrame:
     """Every row with its ``error_reason``, which is empty for accepted rows."""
-    firsts = accept(checked).select("_key", F.col(ROW_ORDER).alias("_first"))
+    firsts = accept_checked(checked).select("_key", F.col(ROW_ORDER).alias("_first"))
     marked = lookup_join(checked, firsts, "_key")
     duplicate = F.when(F.col(ROW_ORDER) > F.col("_first"), F.lit(f"duplicate_{rules.key}"))
     empty = F.lit("")

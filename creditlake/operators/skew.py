@@ -32,8 +32,8 @@ MIN_BYTES = 512 * 1024 * 1024
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Bytes of all tables that ``df`` reads, by the optimizer's statistics."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+    """Bytes of all tables that ``df`` reads, by their statistics."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves().iterator()
     total = 0
     while leaves.hasNext():
         total += int(str(leaves.next().stats().sizeInBytes()))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import (
@@ -44,10 +44,13 @@ def loan_rollup(loans: DataFrame) -> DataFrame:
     )
 
 
+def fixed_statuses(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(s,) for s in LOAN_STATUSES], "loan_status string")
+
+
 def loan_status_names(loans: DataFrame) -> DataFrame:
     """Statuses in use together with the fixed ones, each once."""
-    fixed = loans.sparkSession.createDataFrame([(s,) for s in LOAN_STATUSES], "loan_status string")
-    return loans.select("loan_status").distinct().union(fixed).distinct()
+    return loans.select("loan_status").distinct().union(fixed_statuses(loans.sparkSession)).distinct()
 
 
 def loan_balances(loans: DataFrame, repayments: DataFrame, collections: DataFrame) -> DataFrame:
@@ -197,6 +200,12 @@ class GoldPlan:
             return self.stored_dimension("dim_customer").select("customer_id", "customer_key")
         return dense_keys(self.silver("customers").select("customer_id"), "customer_id", "customer_key")
 
+    def status_keys(self) -> DataFrame:
+        """Key of each status: four rows. The status rule admits no others, so loans need not be read."""
+        if self.stored_dimension:
+            return self.stored_dimension("dim_loan_status")
+        return small_dense_keys(fixed_statuses(self.silver("loans").sparkSession), "loan_status", "loan_status_key")
+
     def _with_customer_key(self, rows: DataFrame) -> DataFrame:
         joined = lookup_join(rows, self.table("customer_keys"), "customer_id")
         return joined.filter(F.col("customer_key").isNotNull())
@@ -204,12 +213,10 @@ class GoldPlan:
     def fact_loan_disbursement(self) -> DataFrame:
         rows = loan_balances(self.silver("loans"), self.silver("repayments"), self.silver("collections"))
         rows = self._with_customer_key(rows)
-        for table, key in (("dim_product", "product"), ("dim_branch", "branch"), ("dim_loan_status", "loan_status")):
-            on = "loan_status" if key == "loan_status" else f"{key}_id"
-            rows = lookup_join(rows, self.dimension(table).select(on, f"{key}_key"), on).filter(
-                F.col(f"{key}_key").isNotNull()
-            )
-        return rows.select(
+        for name in ("product", "branch"):
+            keys = self.dimension(f"dim_{name}").select(f"{name}_id", f"{name}_key")
+            rows = lookup_join(rows, keys, f"{name}_id").filter(F.col(f"{name}_key").isNotNull())
+        return rows.join(F.broadcast(self.status_keys()), "loan_status").select(
             "loan_id",
             "customer_key",
             "product_key",

@@ -22,7 +22,7 @@ from ..operators.quality import (
     layer_counts,
     quality_issues,
 )
-from ..operators.rules import accept, check, reject, to_silver
+from ..operators.rules import accept_checked, check, reject, to_silver
 from ..operators.skew import stage
 from ..sources.io import FACT_LAYOUT, empty_bronze, read_bronze_csv, write_fact, write_json, write_table
 from ..sources.schemas import GOLD, SOURCE_COLUMNS, conform
@@ -68,7 +68,7 @@ def build_silver(bronze: dict[str, DataFrame], target: str) -> tuple[dict, dict]
     for table in SILVER_ORDER:
         rules = RULES[table]
         checked = stage(check(bronze[table], rules, silver))
-        silver[table] = write_table(to_silver(accept(checked), rules), f"{target}/silver/{table}")
+        silver[table] = write_table(to_silver(accept_checked(checked), rules), f"{target}/silver/{table}")
         quarantine[table] = write_table(reject(checked, rules, staged=True), f"{target}/quarantine/{table}_errors")
     return silver, quarantine
 

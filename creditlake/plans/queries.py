@@ -48,8 +48,9 @@ def _silver(spark: SparkSession, folder: str) -> SilverPlan:
     return SilverPlan(TpchExtracts(spark, folder))
 
 
-def _gold(spark: SparkSession, folder: str) -> GoldPlan:
-    return GoldPlan(_silver(spark, folder).table)
+def _balanced(spark: SparkSession, folder: str) -> SilverPlan:
+    """Silver for plans that need loans, and loans again as parents of both children."""
+    return SilverPlan(TpchExtracts(spark, folder), keep=("loans",))
 
 
 def _silver_query(table: str) -> Query:
@@ -60,8 +61,16 @@ def _quarantine_query(table: str) -> Query:
     return lambda spark, folder: _silver(spark, folder).quarantine(table)
 
 
+_NEEDS_BALANCES = ("fact_loan_disbursement", "portfolio_summary", "dim_date")
+
+
+def _gold(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    silver = _balanced if name in _NEEDS_BALANCES else _silver
+    return GoldPlan(silver(spark, folder).table).table(name)
+
+
 def _gold_query(name: str) -> Query:
-    return lambda spark, folder: conform(_gold(spark, folder).table(name), GOLD[name])
+    return lambda spark, folder: conform(_gold(spark, folder, name), GOLD[name])
 
 
 def _latest_query(table: str) -> Query:
@@ -81,7 +90,7 @@ def recoveries_by_loan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def loan_balances_query(spark: SparkSession, folder: str) -> DataFrame:
-    silver = _silver(spark, folder)
+    silver = _balanced(spark, folder)
     balances = loan_balances(silver.table("loans"), silver.table("repayments"), silver.table("collections"))
     return balances.select("loan_id", "loan_amount", "amount_repaid", "amount_recovered", "outstanding_amount")
 
@@ -247,7 +256,7 @@ def quality_status_query(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def gold_constraint_tests(spark: SparkSession, folder: str) -> DataFrame:
-    return constraint_tests(GoldPlan(_silver(spark, folder).table, staged=True).table)
+    return constraint_tests(GoldPlan(_balanced(spark, folder).table, staged=True).table)
 
 
 def bronze_metadata(spark: SparkSession, folder: str) -> DataFrame:
@@ -258,7 +267,7 @@ def bronze_metadata(spark: SparkSession, folder: str) -> DataFrame:
 
 def fact_repayments_by_year(spark: SparkSession, folder: str) -> DataFrame:
     """The stored layout of the repayment fact, summed per year."""
-    laid_out = fact_by_year(_gold(spark, folder).table("fact_repayments"), "fact_repayments")
+    laid_out = fact_by_year(_gold(spark, folder, "fact_repayments"), "fact_repayments")
     return laid_out.groupBy("year").agg(
         F.count(F.lit(1)).alias("repayments"), F.sum("amount_paid").cast("decimal(38,2)").alias("amount_paid")
     )

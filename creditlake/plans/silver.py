@@ -19,7 +19,7 @@ from ..functions.scalars import (
     whole_number,
 )
 from ..operators.keys import latest_per_key
-from ..operators.rules import RuleSet, accept, check, reject, to_silver
+from ..operators.rules import RuleSet, accept, accept_checked, check, reject, to_silver
 from ..operators.skew import stage
 
 # The states a loan may be in.
@@ -146,27 +146,37 @@ SILVER_ORDER = tuple(RULES)
 class SilverPlan:
     """Silver layer over bronze frames; nothing runs until a frame is used.
 
-    With ``staged``, the checked rows of each table are staged when first asked
-    for. That pays when one plan reads a table several times.
+    Two ways to save work where one plan reads a table several times: ``keep``
+    names silver tables that are staged when first asked for, and with
+    ``staged`` the checked rows of every table are.
     """
 
-    def __init__(self, bronze: Mapping[str, DataFrame], staged: bool = False):
+    def __init__(self, bronze: Mapping[str, DataFrame], staged: bool = False, keep: tuple[str, ...] = ()):
         self.bronze = bronze
         self.staged = staged
+        self.keep = keep
         self._checked: dict[str, DataFrame] = {}
         self._tables: dict[str, DataFrame] = {}
 
+    def parents(self, table: str) -> dict[str, DataFrame]:
+        return {parent: self.table(parent) for _, parent in RULES[table].parents}
+
     def checked(self, table: str) -> DataFrame:
         if table not in self._checked:
-            rules = RULES[table]
-            parents = {parent: self.table(parent) for _, parent in rules.parents}
-            checked = check(self.bronze[table], rules, parents)
+            checked = check(self.bronze[table], RULES[table], self.parents(table))
             self._checked[table] = stage(checked) if self.staged else checked
         return self._checked[table]
 
     def table(self, table: str) -> DataFrame:
         if table not in self._tables:
-            self._tables[table] = to_silver(accept(self.checked(table)), RULES[table])
+            rules = RULES[table]
+            accepted = (
+                accept_checked(self.checked(table))
+                if self.staged
+                else accept(self.bronze[table], rules, self.parents(table))
+            )
+            silver = to_silver(accepted, rules)
+            self._tables[table] = stage(silver) if table in self.keep else silver
         return self._tables[table]
 
     def quarantine(self, table: str) -> DataFrame:

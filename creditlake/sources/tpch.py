@@ -65,6 +65,7 @@ class TpchExtracts(Mapping):
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         self._made: dict[str, DataFrame] = {}
+        self._read: dict[str, DataFrame] = {}
 
     def __getitem__(self, table: str) -> DataFrame:
         if table not in self.names:
@@ -80,7 +81,9 @@ class TpchExtracts(Mapping):
         return len(self.names)
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._read[name]
 
     def ordered(self, name: str, *leading: str) -> DataFrame:
         """A table with ``_row_seq``: the leading columns, then the place in the file."""
