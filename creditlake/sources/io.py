@@ -128,5 +128,6 @@ def fact_by_year(fact: DataFrame, name: str) -> DataFrame:
 
 def write_fact(fact: DataFrame, name: str, path: str) -> DataFrame:
     """Store a fact partitioned by year. Filter on ``year`` to prune partitions."""
-    fact_by_year(fact, name).write.mode("overwrite").partitionBy("year").parquet(path)
-    return fact.sparkSession.read.parquet(path)
+    laid_out = fact_by_year(fact, name)
+    laid_out.write.mode("overwrite").partitionBy("year").parquet(path)
+    return fact.sparkSession.read.schema(laid_out.schema).parquet(path)
