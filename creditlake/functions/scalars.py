@@ -113,8 +113,9 @@ def day_name(day: Column | str) -> Column:
 
 def padded_id(prefix: str, number: Column | str, width: int) -> Column:
     """``prefix`` and the number with leading zeros; longer numbers are kept whole."""
-    digits = _col(number).cast("string")
-    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0")))
+    number = _col(number)
+    digits = number.cast("string")
+    return F.concat(F.lit(prefix), F.when(number < 10**width, F.lpad(digits, width, "0")).otherwise(digits))
 
 
 def customer_segment(monthly_income: Column | str, defaulted_loans: Column | int = 0) -> Column:

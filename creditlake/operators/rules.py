@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -117,18 +118,34 @@ def faults(rules: RuleSet) -> tuple[list[Reason], list[Reason]]:
     return before, after
 
 
+def faultless(rules: RuleSet) -> Column:
+    """No fault at all, over :func:`with_parents`, with as few tests as that takes.
+
+    A value that matches an accepted key, or reads as a date, is not blank.
+    """
+    implied = {c for c, _ in rules.parents} | {rules.event_date}
+    needed = [f for f in rules.required if f not in implied]
+    tests = (
+        [~test for _, test in missing_required(*[f for f in needed if f != rules.key])]
+        + [F.col("_key") != ""]
+        + [~test for _, test in invalid_positive(*rules.positive) + invalid_allowed(rules.allowed)]
+        + [~test() for _, test in rules.checks]
+        + [F.col(f"_has_{c}").isNotNull() for c, _ in rules.parents]
+        + ([parse_date(rules.event_date).isNotNull()] if rules.event_date else [])
+    )
+    return reduce(Column.__and__, tests)
+
+
 def accept(bronze: DataFrame, rules: RuleSet, parents: Mapping[str, DataFrame]) -> DataFrame:
-    """The first faultless row of every key, still with raw values.
+    """The first faultless row of every key: raw values, and the cleaned key and references.
 
-    Every rule is a filter of its own, so the cheap ones run in the scan and the
+    The tests are plain predicates, so those on one row run in the scan and the
     referential ones turn the lookups into inner joins.
     """
     bronze = with_expected(bronze, rules.expected())
-    found = with_parents(bronze, rules, parents)
-    before, after = faults(rules)
-    for _, test in before + after:
-        found = found.filter(~test)
-    return first_per_key(found.select(*bronze_columns(bronze), "_key"), "_key", ROW_ORDER)
+    found = with_parents(bronze, rules, parents).filter(faultless(rules))
+    references = [f"_ref_{c}" for c, _ in rules.parents]
+    return first_per_key(found.select(*bronze_columns(bronze), "_key", *references), "_key", ROW_ORDER)
 
 
 def check(bronze: DataFrame, rules: RuleSet, parents: Mapping[str, DataFrame]) -> DataFrame:
@@ -149,10 +166,10 @@ def accept_checked(checked: DataFrame) -> DataFrame:
 
 def to_silver(accepted: DataFrame, rules: RuleSet) -> DataFrame:
     """Cleaned and typed columns. A table without declared ones keeps what it has, trimmed."""
-    if rules.columns:
-        return accepted.select(*[make(c).alias(c) for c, make in rules.columns.items()])
+    ready = {rules.key: "_key", **{c: f"_ref_{c}" for c, _ in rules.parents if f"_ref_{c}" in accepted.columns}}
+    columns = rules.columns or {c: clean for c in raw_columns(accepted)}
     return accepted.select(
-        *[F.col("_key").alias(c) if c == rules.key else clean(c).alias(c) for c in raw_columns(accepted)]
+        *[F.col(ready[c]).alias(c) if c in ready else make(c).alias(c) for c, make in columns.items()]
     )
 
 

@@ -438,6 +438,10 @@ ORACLE: dict[str, str] = {
         "SELECT transaction_id, least(base, 99)::INTEGER AS score_unaided, "
         "least(base + 15, 99)::INTEGER AS score_after_three, rule_name FROM scored"
     ),
+    "sql_risk_score": _query(
+        "SELECT transaction_id, least(base, 99)::INTEGER AS score_unaided, "
+        "least(base + 15, 99)::INTEGER AS score_after_three FROM scored"
+    ),
     "large_movements": _query(
         "SELECT transaction_id, customer_id, transaction_type, amount FROM movements "
         "WHERE amount >= 150000 OR (transaction_type = 'cash_out' AND amount >= 90000)"

@@ -18,6 +18,7 @@ from ..functions.scalars import (
     risk_score,
     utilization_band,
 )
+from ..functions.sql import register_sql_functions
 from ..operators.alerts import score_alerts
 from ..operators.keys import dedupe_first, dedupe_rejects, dense_keys, latest_per_key, newer_than, upsert
 from ..operators.quality import (
@@ -125,6 +126,17 @@ def risk_scores(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def sql_risk_score(spark: SparkSession, folder: str) -> DataFrame:
+    """The same scores through the registered SQL functions."""
+    register_sql_functions(spark)
+    TpchExtracts(spark, folder).movements().createOrReplaceTempView("creditlake_movements")
+    return spark.sql(
+        """SELECT transaction_id, transaction_risk_score(amount, transaction_type, 0) AS score_unaided,
+                  transaction_risk_score(amount, transaction_type, 3) AS score_after_three
+           FROM creditlake_movements"""
+    )
+
+
 def large_movements_query(spark: SparkSession, folder: str) -> DataFrame:
     found = large_movements(TpchExtracts(spark, folder).mobile_transactions())
     return found.select("transaction_id", "customer_id", "transaction_type", parse_decimal("amount").cast(MONEY).alias("amount"))
@@ -291,6 +303,7 @@ QUERIES: dict[str, Query] = {
     "surrogate_key_range": surrogate_key_range,
     "segment_bands": segment_bands,
     "risk_score": risk_scores,
+    "sql_risk_score": sql_risk_score,
     "large_movements": large_movements_query,
     "alerts_batch": _alerts(75),
     "alerts_batch_60": _alerts(60),
