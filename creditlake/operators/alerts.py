@@ -33,7 +33,7 @@ from ..functions.scalars import (
     unaided_score,
 )
 from .keys import first_per_key
-from .skew import hot_keys, lookup_join, may_be_skewed, stage
+from .skew import hot_keys, lookup_join, is_large, stage
 
 MAX_STATE = MAX_ALERT_POINTS // POINTS_PER_ALERT
 THRESHOLD = 75
@@ -129,7 +129,7 @@ def score_alerts(
     else:
         rows = rows.withColumn("_prior", F.lit(0))
 
-    if may_be_skewed(events):
+    if is_large(events):
         rows = stage(rows)
         hot = F.broadcast(hot_keys(rows, "customer_id"))
         marked = _by_window(rows.join(hot, "customer_id", "left_anti")).unionByName(

@@ -56,9 +56,10 @@ def dedupe_rejects(df: DataFrame, key: str, order: str) -> DataFrame:
 def dense_keys(df: DataFrame, id_column: str, key_name: str) -> DataFrame:
     """Number the rows 1..n in the order of ``id_column``, without a single-task sort.
 
-    Rows are range-partitioned and sorted, then checkpointed so that the
-    partitioning cannot change between the two readings that follow: the sizes
-    of the partitions, and the rows. Only one number per partition is broadcast.
+    Rows are range-partitioned and sorted, then staged with their partition and
+    place in it, which therefore cannot change between the two readings that
+    follow: the sizes of the partitions, and the rows. Only one number per
+    partition is broadcast.
     """
     ranged = stage(
         df.repartitionByRange(id_column)

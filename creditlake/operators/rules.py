@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import clean, code, parse_date, parse_decimal
 from .keys import first_per_key
-from .skew import lookup_join, stage
+from .skew import lookup_join, stage_if_large
 
 ROW_ORDER = "_row_seq"
 SEPARATOR = "|"
@@ -188,7 +188,7 @@ def explain_rows(checked: DataFrame, rules: RuleSet) -> DataFrame:
 def reject(checked: DataFrame, rules: RuleSet, staged: bool = False) -> DataFrame:
     """Raw values and reasons of the rows that are not accepted.
 
-    The checked rows are read twice, so they are staged unless they already are.
+    The checked rows are read twice, so large ones are staged unless they already are.
     """
-    checked = checked if staged else stage(checked)
+    checked = checked if staged else stage_if_large(checked)
     return explain_rows(checked, rules).filter(F.col("error_reason") != "")

@@ -17,6 +17,7 @@ most about 1/``HOT_KEYS`` of the rows per key.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,8 +26,9 @@ HOT_KEYS = 1000
 SKETCH_ITEMS = 10000
 SCATTER = 16384
 
-# Below this much input, a single key fits comfortably in one task and the
-# extra pass does not pay. Override with the session setting of this name.
+# Below this much input, a single key fits comfortably in one task, and neither
+# an extra pass nor an extra write pays. Override with the session setting of
+# this name.
 MIN_BYTES_SETTING = "creditlake.skew.minInputBytes"
 MIN_BYTES = 512 * 1024 * 1024
 
@@ -40,8 +42,11 @@ def input_bytes(df: DataFrame) -> int:
     return total
 
 
-def may_be_skewed(df: DataFrame) -> bool:
-    """Whether ``df`` reads enough for a hot key to overload one task."""
+def is_large(df: DataFrame) -> bool:
+    """Whether ``df`` reads enough for a hot key to overload one task.
+
+    This only chooses between two exact ways of doing the same.
+    """
     limit = int(df.sparkSession.conf.get(MIN_BYTES_SETTING, str(MIN_BYTES)))
     return input_bytes(df) >= limit
 
@@ -61,7 +66,7 @@ def lookup_join(
     (for instance the stored table that ``rows`` comes from).
     """
     keys_from = rows if keys_from is None else keys_from
-    if not may_be_skewed(keys_from):
+    if not is_large(keys_from):
         return rows.join(lookup, on, "left")
 
     values = [c for c in lookup.columns if c != on]
@@ -88,23 +93,31 @@ def lookup_join(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for checkpoints that all executors can reach.
+    """The folder for intermediate results that all executors can reach.
 
     The cluster names it in ``spark.checkpoint.dir``. Only a local session
     without the setting gets a folder of its own.
     """
-    context = spark.sparkContext
-    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="creditlake-checkpoint-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
+        spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from there."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` as a table in the shared folder and go on from there.
+
+    That cuts the lineage: a lost executor never brings the earlier work back,
+    later passes read only the columns they need, and the true size is known.
+    """
+    path = f"{shared_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_if_large(df: DataFrame) -> DataFrame:
+    """Stage what would be expensive to compute again; leave small work to one plan."""
+    return stage(df) if is_large(df) else df

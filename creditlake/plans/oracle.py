@@ -280,10 +280,13 @@ _CTES: dict[str, str] = {
 }
 
 
-def _alerts(threshold: int, skip: str = "FALSE") -> str:
+_UNKNOWN_CUSTOMER = "customer_id NOT IN (SELECT customer_id FROM s_customers)"
+
+
+def _alerts(threshold: int, skip: str = _UNKNOWN_CUSTOMER) -> str:
     """Sequential scoring as a recursive walk over each customer's events."""
     return f"""
-        WITH RECURSIVE {_needed('scored')},
+        WITH RECURSIVE {_needed('scored ' + skip)},
         numbered AS MATERIALIZED (
           SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY event_time, event_id) AS n
           FROM scored WHERE NOT ({skip}) AND base + 20 >= {threshold}),

@@ -31,7 +31,7 @@ from ..operators.quality import (
 )
 from ..operators.rules import explain_rows
 from ..operators.schedule import instalment_schedule, large_movements, with_due_date
-from ..operators.skew import shared_folder
+from ..operators.skew import lookup_join, shared_folder
 from ..sources.io import fact_by_year, with_metadata
 from ..sources.schemas import GOLD, conform
 from ..sources.tpch import LINE_ORDER, TpchExtracts, line_amount
@@ -199,9 +199,18 @@ def loan_due_dates(spark: SparkSession, folder: str) -> DataFrame:
 _ALERT_OUT = ("alert_id", "transaction_id", "customer_id", "rule_name", "risk_score", "alert_status")
 
 
+def _of_known_customers(events: DataFrame, extracts: TpchExtracts) -> DataFrame:
+    """Events whose customer is in the silver layer. Works for a stream as well."""
+    customers = SilverPlan(extracts).table("customers").select("customer_id", F.lit(True).alias("_known"))
+    if events.isStreaming:
+        return events.join(customers.select("customer_id"), "customer_id", "left_semi")
+    return lookup_join(events, customers, "customer_id").filter("_known").drop("_known")
+
+
 def _alerts(threshold: int) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        events = TpchExtracts(spark, folder).stream_events()
+        extracts = TpchExtracts(spark, folder)
+        events = _of_known_customers(extracts.stream_events(), extracts)
         return score_alerts(events, threshold).select(*_ALERT_OUT)
 
     return query
@@ -224,7 +233,8 @@ def alerts_stream(spark: SparkSession, folder: str) -> DataFrame:
         .parquet(folder)
     )
     work = f"{shared_folder(spark)}/alerts-{uuid.uuid4().hex}"
-    start_alerts(extracts.as_stream_events(raw), f"{work}/out", f"{work}/progress").awaitTermination()
+    events = _of_known_customers(extracts.as_stream_events(raw), extracts)
+    start_alerts(events, f"{work}/out", f"{work}/progress").awaitTermination()
     return read_alerts(spark, f"{work}/out").select(*_ALERT_OUT)
 
 

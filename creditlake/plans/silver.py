@@ -20,7 +20,7 @@ from ..functions.scalars import (
 )
 from ..operators.keys import latest_per_key
 from ..operators.rules import RuleSet, accept, accept_checked, check, reject, to_silver
-from ..operators.skew import stage
+from ..operators.skew import stage, stage_if_large
 
 # The states a loan may be in.
 LOAN_STATUSES = ("ACTIVE", "CLOSED", "OVERDUE", "DEFAULTED")
@@ -147,8 +147,8 @@ class SilverPlan:
     """Silver layer over bronze frames; nothing runs until a frame is used.
 
     Two ways to save work where one plan reads a table several times: ``keep``
-    names silver tables that are staged when first asked for, and with
-    ``staged`` the checked rows of every table are.
+    names silver tables that are staged when first asked for and large, and with
+    ``staged`` the checked rows of every table are staged.
     """
 
     def __init__(self, bronze: Mapping[str, DataFrame], staged: bool = False, keep: tuple[str, ...] = ()):
@@ -176,7 +176,7 @@ class SilverPlan:
                 else accept(self.bronze[table], rules, self.parents(table))
             )
             silver = to_silver(accepted, rules)
-            self._tables[table] = stage(silver) if table in self.keep else silver
+            self._tables[table] = stage_if_large(silver) if table in self.keep else silver
         return self._tables[table]
 
     def quarantine(self, table: str) -> DataFrame:
