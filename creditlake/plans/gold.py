@@ -206,16 +206,17 @@ class GoldPlan:
             return self.stored_dimension("dim_loan_status")
         return small_dense_keys(fixed_statuses(self.silver("loans").sparkSession), "loan_status", "loan_status_key")
 
-    def _with_customer_key(self, rows: DataFrame) -> DataFrame:
-        joined = lookup_join(rows, self.table("customer_keys"), "customer_id")
+    def _with_customer_key(self, rows: DataFrame, keys_from: DataFrame | None = None) -> DataFrame:
+        joined = lookup_join(rows, self.table("customer_keys"), "customer_id", keys_from)
         return joined.filter(F.col("customer_key").isNotNull())
 
     def fact_loan_disbursement(self) -> DataFrame:
-        rows = loan_balances(self.silver("loans"), self.silver("repayments"), self.silver("collections"))
-        rows = self._with_customer_key(rows)
+        loans = self.silver("loans")
+        rows = loan_balances(loans, self.silver("repayments"), self.silver("collections"))
+        rows = self._with_customer_key(rows, loans)
         for name in ("product", "branch"):
             keys = self.dimension(f"dim_{name}").select(f"{name}_id", f"{name}_key")
-            rows = lookup_join(rows, keys, f"{name}_id").filter(F.col(f"{name}_key").isNotNull())
+            rows = lookup_join(rows, keys, f"{name}_id", loans).filter(F.col(f"{name}_key").isNotNull())
         return rows.join(F.broadcast(self.status_keys()), "loan_status").select(
             "loan_id",
             "customer_key",
