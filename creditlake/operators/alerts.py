@@ -33,7 +33,7 @@ from ..functions.scalars import (
     unaided_score,
 )
 from .keys import first_per_key
-from .skew import hot_keys, lookup_join, is_large, stage
+from .skew import hot_keys, is_large, lookup_join, stage
 
 MAX_STATE = MAX_ALERT_POINTS // POINTS_PER_ALERT
 THRESHOLD = 75
@@ -110,14 +110,17 @@ def score_alerts(
     threshold: int = THRESHOLD,
     known: DataFrame | None = None,
     prior: DataFrame | None = None,
+    large: bool | None = None,
 ) -> DataFrame:
     """Alerts raised by ``events``, in the order of (event_time, event_id).
 
     ``known`` holds the ``alert_id`` of alerts raised before: those events are
     skipped and do not count. ``prior`` holds ``customer_id`` and ``alerts``, the
     number of alerts each customer starts with (none without it). A repeated
-    event id counts once, at its first occurrence.
+    event id counts once, at its first occurrence. ``large`` is for callers that
+    know the number of events; otherwise the table statistics decide.
     """
+    large = is_large(events) if large is None else large
     rows = first_per_key(candidates(events, threshold), "event_id", "event_time", "transaction_id")
     if known is not None:
         rows = rows.withColumn("alert_id", alert_id("event_id")).join(
@@ -125,11 +128,11 @@ def score_alerts(
         ).drop("alert_id")
     if prior is not None:
         start = prior.select("customer_id", F.least("alerts", F.lit(MAX_STATE)).cast("int").alias("_prior"))
-        rows = lookup_join(rows, start, "customer_id").withColumn("_prior", F.coalesce("_prior", F.lit(0)))
+        rows = lookup_join(rows, start, "customer_id", large=large).withColumn("_prior", F.coalesce("_prior", F.lit(0)))
     else:
         rows = rows.withColumn("_prior", F.lit(0))
 
-    if is_large(events):
+    if large:
         rows = stage(rows)
         hot = F.broadcast(hot_keys(rows, "customer_id"))
         marked = _by_window(rows.join(hot, "customer_id", "left_anti")).unionByName(

@@ -7,7 +7,7 @@ rows to one task, so large inputs take three steps instead:
    task, merged; never a shuffle of the keys);
 2. those few keys are looked up through a broadcast of at most ``HOT_KEYS`` rows;
 3. every other row is looked up through an ordinary shuffled join, in which hot
-   rows carry a scattered key that matches nothing.
+   rows and rows without a key carry a scattered key that matches nothing.
 
 The sketch only chooses the route of a row. Both routes give the same answer, so
 the result is exact whichever keys are found. What remains for step 3 holds at
@@ -58,15 +58,20 @@ def hot_keys(df: DataFrame, key: str, most: int = HOT_KEYS) -> DataFrame:
 
 
 def lookup_join(
-    rows: DataFrame, lookup: DataFrame, on: str, keys_from: DataFrame | None = None
+    rows: DataFrame,
+    lookup: DataFrame,
+    on: str,
+    keys_from: DataFrame | None = None,
+    large: bool | None = None,
 ) -> DataFrame:
     """Left join of ``rows`` to ``lookup``, which holds every value of ``on`` at most once.
 
     ``keys_from`` is a cheaper frame with the same values of ``on`` as ``rows``
-    (for instance the stored table that ``rows`` comes from).
+    (for instance the stored table that ``rows`` comes from). ``large`` is for
+    callers that know the size better than the statistics do.
     """
     keys_from = rows if keys_from is None else keys_from
-    if not is_large(keys_from):
+    if not (is_large(keys_from) if large is None else large):
         return rows.join(lookup, on, "left")
 
     values = [c for c in lookup.columns if c != on]
@@ -78,7 +83,10 @@ def lookup_join(
     )
     scattered = F.concat(F.lit("hot:"), (F.monotonically_increasing_id() % SCATTER).cast("string"))
     routed = rows.join(F.broadcast(few), on, "left").withColumn(
-        "_route", F.when(F.col("_hot"), scattered).otherwise(F.concat(F.lit("key:"), F.col(on).cast("string")))
+        "_route",
+        F.when(F.col("_hot") | F.col(on).isNull(), scattered).otherwise(
+            F.concat(F.lit("key:"), F.col(on).cast("string"))
+        ),
     )
     cold = packed.select(
         F.concat(F.lit("key:"), F.col(on).cast("string")).alias("_route"), F.col("_found").alias("_found_cold")

@@ -424,6 +424,7 @@ ORACLE: dict[str, str] = {
     "duplicate_key_count": _query("SELECT count(*) - count(DISTINCT line_key) AS duplicate_count FROM line_rows"),
     "latest_by_key": _query("SELECT * FROM latest_lines"),
     "incremental_upsert": _query("SELECT * FROM latest_lines"),
+    "incremental_collections": _query("SELECT * FROM s_collections"),
     "loan_rollup": _query("SELECT * FROM rollup_loans"),
     "repayments_by_loan": _query("SELECT * FROM paid"),
     "recoveries_by_loan": _query("SELECT * FROM recovered"),

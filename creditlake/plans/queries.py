@@ -37,7 +37,7 @@ from ..sources.schemas import GOLD, conform
 from ..sources.tpch import LINE_ORDER, TpchExtracts, line_amount
 from ..streaming.alerts import read_alerts, start_alerts
 from .gold import GoldPlan, loan_balances, loan_rollup, loan_status_names, total_by
-from .silver import RULES, SILVER_ORDER, SilverPlan, latest_version
+from .silver import RULES, SILVER_ORDER, SilverPlan, latest_version, merge_increment
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -187,6 +187,14 @@ def incremental_upsert(spark: SparkSession, folder: str) -> DataFrame:
     return merged.select(*_LINE_OUT)
 
 
+def incremental_collections(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver collections stored up to a date, merged with a later load that overlaps it."""
+    collections = SilverPlan(TpchExtracts(spark, folder), keep=("collections",)).table("collections")
+    stored = collections.filter(F.col("action_date") <= F.lit("2000-06-30").cast("date"))
+    incoming = newer_than(collections, "action_date", F.lit("1999-12-31").cast("date"))
+    return merge_increment(stored, incoming, "collections")
+
+
 def line_amounts_half_even(spark: SparkSession, folder: str) -> DataFrame:
     lines = TpchExtracts(spark, folder).read("lineitem")
     return lines.select("l_orderkey", "l_linenumber", line_amount().alias("amount"))
@@ -309,6 +317,7 @@ QUERIES: dict[str, Query] = {
     "duplicate_key_count": duplicate_key_count_query,
     "latest_by_key": latest_by_key,
     "incremental_upsert": incremental_upsert,
+    "incremental_collections": incremental_collections,
     "loan_rollup": loan_rollup_query,
     "repayments_by_loan": repayments_by_loan,
     "recoveries_by_loan": recoveries_by_loan,

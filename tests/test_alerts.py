@@ -134,6 +134,14 @@ def test_a_batch_that_runs_again_replaces_its_output(spark, tmp_path):
     assert result(read_alerts(spark, target)) == sequential(rows, 60)
 
 
+def test_large_batches_take_the_route_for_hot_customers(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("creditlake.streaming.alerts.LARGE_BATCH", 1)
+    rows, target = events(300, 8), str(tmp_path / "out")
+    for batch in range(3):
+        process_batch(frame(spark, rows[batch * 100 : batch * 100 + 100]), batch, target, 60)
+    assert result(read_alerts(spark, target)) == sequential(rows, 60)
+
+
 def test_json_lines(spark, tmp_path):
     path = str(tmp_path / "lines")
     assert read_jsonl(spark, path, STREAM_ALERT).count() == 0

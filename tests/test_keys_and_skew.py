@@ -16,8 +16,8 @@ def hot(spark):
 
 
 def skewed(spark, n=30000):
-    """A third of the rows share one key; some keys are missing from the lookup, some are NULL."""
-    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 100 == 1, None).otherwise(
+    """A third of the rows share one key, a third have none; some keys are missing from the lookup."""
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, None).otherwise(
         F.concat(F.lit("k"), (F.col("id") % 5000).cast("string"))
     )
     return spark.range(n).select("id", key.alias("key"))

@@ -1,11 +1,12 @@
 import random
+from datetime import date
 
 import pytest
 
 from creditlake.operators.quality import duplicate_key_count
 from creditlake.operators.rules import RuleSet, accept, accept_checked, check, explain_rows, reject, to_silver
 from creditlake.operators.skew import MIN_BYTES_SETTING
-from creditlake.plans.silver import RULES, SilverPlan, latest_version
+from creditlake.plans.silver import RULES, SilverPlan, latest_version, merge_increment
 from creditlake.sources.schemas import SOURCE_COLUMNS
 
 
@@ -181,3 +182,12 @@ def test_latest_version_takes_the_newest_row(spark):
     ]
     found = latest_version(bronze(spark, "loans", rows), "loans", "_row_seq").collect()
     assert [str(r["disbursement_date"]) for r in found] == ["2024-01-09"]
+
+
+def test_increment_replaces_older_and_equal_dates(spark):
+    make = lambda rows: spark.createDataFrame(rows, "loan_id string, disbursement_date date, loan_status string")
+    day = [date(2024, 1, n) for n in range(1, 4)]
+    stored = make([("a", day[0], "old"), ("b", day[1], "old"), ("c", day[2], "old")])
+    incoming = make([("a", day[1], "new"), ("b", day[1], "new"), ("c", day[0], "late"), ("d", day[0], "new")])
+    merged = merge_increment(stored, incoming, "loans").collect()
+    assert sorted((r["loan_id"], r["loan_status"]) for r in merged) == [("a", "new"), ("b", "new"), ("c", "old"), ("d", "new")]
