@@ -121,7 +121,8 @@ def score_alerts(
     know the number of events; otherwise the table statistics decide.
     """
     large = is_large(events) if large is None else large
-    rows = first_per_key(candidates(events, threshold), "event_id", "event_time", "transaction_id")
+    order = ("event_time", "transaction_id", "customer_id", "_base", "rule_name")
+    rows = first_per_key(candidates(events, threshold), "event_id", *order)
     if known is not None:
         rows = rows.withColumn("alert_id", alert_id("event_id")).join(
             known.select("alert_id"), "alert_id", "left_anti"

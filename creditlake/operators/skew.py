@@ -68,7 +68,8 @@ def lookup_join(
 
     ``keys_from`` is a cheaper frame with the same values of ``on`` as ``rows``
     (for instance the stored table that ``rows`` comes from). ``large`` is for
-    callers that know the size better than the statistics do.
+    callers that know the size better than the statistics do. Rows should differ
+    in some column, such as an id or a row order, or copies stay together.
     """
     keys_from = rows if keys_from is None else keys_from
     if not (is_large(keys_from) if large is None else large):
@@ -81,7 +82,9 @@ def lookup_join(
         .join(packed, on, "left")
         .select(on, F.lit(True).alias("_hot"), F.col("_found").alias("_found_hot"))
     )
-    scattered = F.concat(F.lit("hot:"), (F.monotonically_increasing_id() % SCATTER).cast("string"))
+    # By content, not by position: a task that runs again must send every row the same way.
+    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(SCATTER))
+    scattered = F.concat(F.lit("hot:"), spread.cast("string"))
     routed = rows.join(F.broadcast(few), on, "left").withColumn(
         "_route",
         F.when(F.col("_hot") | F.col(on).isNull(), scattered).otherwise(
