@@ -15,6 +15,9 @@ SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16000",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # Plans are built from many small expressions; recording the caller of each
+    # one costs more than building them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
