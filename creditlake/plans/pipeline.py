@@ -24,7 +24,7 @@ from ..operators.quality import (
 )
 from ..operators.rules import accept_checked, check, reject, to_silver
 from ..operators.skew import stage
-from ..sources.io import FACT_LAYOUT, empty_bronze, read_bronze_csv, write_fact, write_json, write_table
+from ..sources.io import empty_bronze, read_bronze_csv, write_fact, write_json, write_table
 from ..sources.schemas import GOLD, SOURCE_COLUMNS, conform
 from .gold import GoldPlan, portfolio_summary
 from .silver import RULES, SILVER_ORDER
