@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .common import table
 from .compression import compression_bands
 from .decontamination import decontamination_report
+from .sitetree import extract_main_text
 from .warc import archive_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,10 +30,15 @@ def op6_warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return archive_round_trip(table(spark, folder, "pages"))
 
 
+def op9_site_style_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_main_text(table(spark, folder, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_compression_bands": op2_compression_bands,
     "op3_suffix_array_decontamination": op3_suffix_array_decontamination,
     "op6_warc_round_trip": op6_warc_round_trip,
+    "op9_site_style_tree": op9_site_style_tree,
 }
 
 ORACLE: dict[str, str] = {
