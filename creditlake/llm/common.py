@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -36,6 +37,19 @@ def unused(columns: Iterable[str], *wanted: str) -> list[str]:
     return found
 
 
+def send(spark: SparkSession, value: object) -> Callable[[], object]:
+    """Broadcast ``value``, whose size the caller bounds; the result returns it inside a task."""
+    packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    held: list = []
+
+    def get():
+        if not held:
+            held.append(cloudpickle.loads(packed.value))
+        return held[0]
+
+    return get
+
+
 def arrow_map(
     df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType
 ) -> DataFrame:

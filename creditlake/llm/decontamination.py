@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER_WORDS, append_columns, unused
+from .common import LOWER_WORDS, append_columns, send, unused
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
@@ -176,14 +176,13 @@ def with_matches(
 ) -> tuple[DataFrame, str, str]:
     """``docs`` with a column of word counts and one of matches; also their names."""
     n_words, matches = unused(docs.columns, "n_words", "matches")
-    context = docs.sparkSession.sparkContext
     found = None
     for block in blocks(benchmark, window, block_bytes):
-        sent = context.broadcast(block)
+        sent = send(docs.sparkSession, block)
         (count, part) = unused([*docs.columns, *(found.columns if found is not None else [])], "_count", "_part")
         fields = [T.StructField(count, T.LongType()), T.StructField(part, T.ArrayType(MATCH))]
         step = append_columns(
-            docs if found is None else found, "text", lambda texts, sent=sent: list(search(texts, sent.value)), fields
+            docs if found is None else found, "text", lambda texts, sent=sent: list(search(texts, sent())), fields
         )
         if found is None:
             found = step.withColumnsRenamed({count: n_words, part: matches})

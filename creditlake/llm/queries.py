@@ -11,6 +11,7 @@ from .common import table
 from .compression import compression_bands
 from .decontamination import decontamination_report
 from .sitetree import extract_main_text
+from .toxicity import toxicity_scores
 from .warc import archive_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,11 +35,16 @@ def op9_site_style_tree(spark: SparkSession, folder: str) -> DataFrame:
     return extract_main_text(table(spark, folder, "pages"))
 
 
+def op10_kneser_ney_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_compression_bands": op2_compression_bands,
     "op3_suffix_array_decontamination": op3_suffix_array_decontamination,
     "op6_warc_round_trip": op6_warc_round_trip,
     "op9_site_style_tree": op9_site_style_tree,
+    "op10_kneser_ney_toxicity": op10_kneser_ney_toxicity,
 }
 
 ORACLE: dict[str, str] = {
