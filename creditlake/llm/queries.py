@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .common import table
 from .compression import compression_bands
 from .decontamination import decontamination_report
+from .jaccard import jaccard_components
 from .sitetree import extract_main_text
 from .toxicity import toxicity_scores
 from .warc import archive_round_trip
@@ -27,6 +28,10 @@ def op3_suffix_array_decontamination(spark: SparkSession, folder: str) -> DataFr
     return report.withColumn("longest_match", longest).drop("matches")
 
 
+def op5_partenum_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_components(table(spark, folder, "documents"))
+
+
 def op6_warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return archive_round_trip(table(spark, folder, "pages"))
 
@@ -42,6 +47,7 @@ def op10_kneser_ney_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_compression_bands": op2_compression_bands,
     "op3_suffix_array_decontamination": op3_suffix_array_decontamination,
+    "op5_partenum_jaccard": op5_partenum_jaccard,
     "op6_warc_round_trip": op6_warc_round_trip,
     "op9_site_style_tree": op9_site_style_tree,
     "op10_kneser_ney_toxicity": op10_kneser_ney_toxicity,
