@@ -11,6 +11,7 @@ from .common import table
 from .compression import compression_bands
 from .decontamination import decontamination_report
 from .jaccard import jaccard_components
+from .pii import personal_data
 from .sitetree import extract_main_text
 from .toxicity import toxicity_scores
 from .warc import archive_round_trip
@@ -36,6 +37,10 @@ def op6_warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return archive_round_trip(table(spark, folder, "pages"))
 
 
+def op7_bootstrapped_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data(table(spark, folder, "documents"))
+
+
 def op9_site_style_tree(spark: SparkSession, folder: str) -> DataFrame:
     return extract_main_text(table(spark, folder, "pages"))
 
@@ -49,6 +54,7 @@ QUERIES: dict[str, Query] = {
     "op3_suffix_array_decontamination": op3_suffix_array_decontamination,
     "op5_partenum_jaccard": op5_partenum_jaccard,
     "op6_warc_round_trip": op6_warc_round_trip,
+    "op7_bootstrapped_pii": op7_bootstrapped_pii,
     "op9_site_style_tree": op9_site_style_tree,
     "op10_kneser_ney_toxicity": op10_kneser_ney_toxicity,
 }
