@@ -279,11 +279,12 @@ def redact(docs: DataFrame, settings: Bootstrap | None = None) -> DataFrame:
     body = F.coalesce("text", F.lit(""))
     named = docs.withColumn(a, F.xxhash64(F.col("doc_id"), body)).withColumn(b, F.xxhash64(F.lit(1), body, F.col("doc_id")))
     out = named.join(hits, [a, b], "left")
-    clean = F.when(F.col(every).isNotNull(), redacted(F.col("text"), F.col(every))).otherwise(F.col("text"))
+    (clean,) = unused(out.columns, "_clean")
+    out = out.withColumn(clean, F.when(F.col(every).isNotNull(), redacted(F.col("text"), F.col(every))).otherwise(F.col("text")))
     kept = []
     for c in docs.columns:
         if c == "text":
-            kept.append(clean.alias("text"))
+            kept.append(F.col(clean).alias("text"))
         elif c == "n_chars":
             changed = F.length(clean).cast(docs.schema["n_chars"].dataType)
             kept.append(F.when(F.col(every).isNotNull(), changed).otherwise(F.col("n_chars")).alias("n_chars"))
