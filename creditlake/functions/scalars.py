@@ -68,10 +68,17 @@ def title(value: Column | str) -> Column:
 
 
 def parse_decimal(value: Column | str) -> Column:
-    """Exact number from text. Unparsable text, and numbers of 10^15 or more, give 0."""
+    """Exact number from text. Unparsable text gives 0, and so do numbers that are :func:`out_of_range`."""
     return F.coalesce(clean(value).try_cast(NUMBER), F.lit(0).cast(NUMBER))
 
 
+def out_of_range(value: Column | str) -> Column:
+    """Whether the text is a number too large to be read. :func:`parse_decimal` makes it 0, so rows with it are rejected."""
+    text = clean(value)
+    size = F.abs(text.try_cast("double"))
+    return F.coalesce(text.try_cast(NUMBER).isNull() & (size >= 1e15) & ~F.isnan(size), F.lit(False))
+
+
 def round_money(value: Column) -> Column:
     """Two decimals, ties to the even cent. Decimal input only."""
     return F.bround(value, 2).cast(MONEY)

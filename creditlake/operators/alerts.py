@@ -7,20 +7,17 @@ most four turning points: the first transaction that alerts unaided, the first
 after it that alerts with one earlier alert, and so on. A transaction's bonus is
 the number of turning points before it. Each turning point is one minimum.
 
-Two ways to take those minima give the same result:
+Each minimum is a grouped aggregate with partial sums, joined back, so that no
+customer's transactions are gathered in one task, and all sizes take one way.
 
-* one window per customer, which shuffles once;
-* for the customers with the most candidates in a large input, four grouped
-  minima with partial aggregation, whose results (at most ``HOT_KEYS`` rows) are
-  broadcast. No customer's transactions are gathered in one task.
+An event id that comes again alerts at its first occurrence that reaches the
+threshold; later occurrences neither alert nor count. An event belongs to one
+customer: under several, each counts it, and the earliest alert is kept.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalars import (
@@ -33,7 +30,7 @@ from ..functions.scalars import (
     unaided_score,
 )
 from .keys import first_per_key
-from .skew import hot_keys, is_large, lookup_join, stage
+from .skew import lookup_join, stage
 
 MAX_STATE = MAX_ALERT_POINTS // POINTS_PER_ALERT
 THRESHOLD = 75
@@ -47,7 +44,7 @@ ALERT_COLUMNS = (
     "alert_status",
 )
 
-_MOMENT = ("event_time", "event_id")
+_MOMENT = ("event_time", "event_id", "transaction_id", "_base", "rule_name")
 
 
 def alert_id(event_id: Column | str) -> Column:
@@ -72,37 +69,26 @@ def candidates(events: DataFrame, threshold: int) -> DataFrame:
     return scored.filter(possible)
 
 
-def _turning_points(rows: DataFrame, least: Callable[[DataFrame, list[str], Column, str], DataFrame]) -> DataFrame:
-    """Add ``_turn1`` to ``_turn4``, the moments at which the customer's state grows."""
+def _with_turning_points(rows: DataFrame) -> DataFrame:
+    """Add ``_turn1`` to ``_turn4``, the alerts at which the customer's state grows.
+
+    ``rows`` is read five times, so it is staged. Every alert of a new event up to
+    the fourth is a turning point, so an event that alerted before is one of them.
+    """
     moment = F.struct(*_MOMENT)
+    marked = rows
     for k in range(MAX_STATE):
+        earlier = [f"_turn{i}" for i in range(1, k + 1)]
         grows = F.col("_need") <= F.least(F.col("_prior") + k, F.lit(MAX_STATE))
         if k:
             grows &= moment > F.col(f"_turn{k}")
-        earlier = [f"_turn{i}" for i in range(1, k + 1)]
-        rows = least(rows, earlier, F.when(grows, moment), f"_turn{k + 1}")
-    return rows
-
-
-def _by_window(rows: DataFrame) -> DataFrame:
-    customer = W.partitionBy("customer_id")
-
-    def least(df: DataFrame, earlier: list[str], value: Column, name: str) -> DataFrame:
-        return df.withColumn(name, F.min(value).over(customer))
-
-    return _turning_points(rows, least)
-
-
-def _by_aggregate(rows: DataFrame) -> DataFrame:
-    """For at most ``HOT_KEYS`` customers. ``rows`` is read five times, so it is staged."""
-
-    def least(df: DataFrame, earlier: list[str], value: Column, name: str) -> DataFrame:
-        turns = df.groupBy("customer_id").agg(
-            *[F.first(c).alias(c) for c in earlier], F.min(value).alias(name)
+        for turn in earlier:
+            grows &= F.col("event_id") != F.col(f"{turn}.event_id")
+        turns = marked.groupBy("customer_id").agg(
+            *[F.first(c).alias(c) for c in earlier], F.min(F.when(grows, moment)).alias(f"_turn{k + 1}")
         )
-        return rows.join(F.broadcast(turns), "customer_id")
-
-    return _turning_points(rows, least)
+        marked = lookup_join(rows, turns, "customer_id")
+    return marked
 
 
 def score_alerts(
@@ -110,44 +96,32 @@ def score_alerts(
     threshold: int = THRESHOLD,
     known: DataFrame | None = None,
     prior: DataFrame | None = None,
-    large: bool | None = None,
 ) -> DataFrame:
     """Alerts raised by ``events``, in the order of (event_time, event_id).
 
     ``known`` holds the ``alert_id`` of alerts raised before: those events are
     skipped and do not count. ``prior`` holds ``customer_id`` and ``alerts``, the
     number of alerts each customer starts with (none without it). A repeated
-    event id counts once, at its first occurrence. ``large`` is for callers that
-    know the number of events; otherwise the table statistics decide.
+    event id alerts once, at its first occurrence that reaches the threshold.
     """
-    large = is_large(events) if large is None else large
-    order = ("event_time", "transaction_id", "customer_id", "_base", "rule_name")
-    rows = first_per_key(candidates(events, threshold), "event_id", *order)
+    rows = candidates(events, threshold)
     if known is not None:
         rows = rows.withColumn("alert_id", alert_id("event_id")).join(
             known.select("alert_id"), "alert_id", "left_anti"
         ).drop("alert_id")
     if prior is not None:
         start = prior.select("customer_id", F.least("alerts", F.lit(MAX_STATE)).cast("int").alias("_prior"))
-        rows = lookup_join(rows, start, "customer_id", large=large).withColumn("_prior", F.coalesce("_prior", F.lit(0)))
+        rows = lookup_join(rows, start, "customer_id").withColumn("_prior", F.coalesce("_prior", F.lit(0)))
     else:
         rows = rows.withColumn("_prior", F.lit(0))
 
-    if large:
-        rows = stage(rows)
-        hot = F.broadcast(hot_keys(rows, "customer_id"))
-        marked = _by_window(rows.join(hot, "customer_id", "left_anti")).unionByName(
-            _by_aggregate(rows.join(hot, "customer_id", "left_semi"))
-        )
-    else:
-        marked = _by_window(rows)
-
+    marked = _with_turning_points(stage(rows))
     moment = F.struct(*_MOMENT)
     passed = [F.when(F.col(f"_turn{k}") < moment, 1).otherwise(0) for k in range(1, MAX_STATE + 1)]
     state = F.least(sum(passed, F.col("_prior")), F.lit(MAX_STATE))
+    raised = marked.withColumn("_state", state).filter(F.col("_need") <= F.col("_state"))
     return (
-        marked.withColumn("_state", state)
-        .filter(F.col("_need") <= F.col("_state"))
+        first_per_key(raised, "event_id", *_MOMENT, "customer_id")
         .select(
             alert_id("event_id").alias("alert_id"),
             "transaction_id",

@@ -32,8 +32,12 @@ def upsert(current: DataFrame, incoming: DataFrame, key: str, moment: str, *ties
 
 
 def newer_than(df: DataFrame, moment: str, high_water: Column) -> DataFrame:
-    """Rows past the high-water mark of the last load."""
-    return df.filter(F.col(moment) > high_water)
+    """Rows from the high-water mark of the last load on.
+
+    Rows of the mark itself come again, as more of them may have arrived since;
+    a merge by key takes them once.
+    """
+    return df.filter(F.col(moment) >= high_water)
 
 
 def dedupe_first(df: DataFrame, key: str, order: str) -> DataFrame:

@@ -20,9 +20,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import clean, code, parse_date, parse_decimal
+from ..functions.scalars import clean, code, money, out_of_range, parse_date, parse_decimal, whole_number
 from .keys import first_per_key
-from .skew import lookup_join, stage_if_large
+from .skew import lookup_join, stage
 
 ROW_ORDER = "_row_seq"
 SEPARATOR = "|"
@@ -46,6 +46,11 @@ def unreadable_date(*fields: str) -> list[Reason]:
     return [(f"invalid_{f}", (clean(f) != "") & parse_date(f).isNull()) for f in fields]
 
 
+def numbers_out_of_range(columns: Mapping[str, Callable[[str], Column]]) -> list[Reason]:
+    """For every column read as a number: too large to be read, which must not pass as 0."""
+    return [(f"out_of_range_{c}", out_of_range(c)) for c, make in columns.items() if make in (money, whole_number)]
+
+
 def reason_text(reasons: list[Reason]) -> Column:
     """The reasons that apply, in order, joined by a vertical bar; empty text if none do."""
     return F.concat_ws(SEPARATOR, *[F.when(test, F.lit(name)) for name, test in reasons])
@@ -100,7 +105,7 @@ def with_parents(bronze: DataFrame, rules: RuleSet, parents: Mapping[str, DataFr
     found = coded
     for column, table in rules.parents:
         known = parents[table].select(F.col(column).alias(f"_ref_{column}"), F.lit(True).alias(f"_has_{column}"))
-        found = lookup_join(found, known, f"_ref_{column}", keys_from=coded)
+        found = lookup_join(found, known, f"_ref_{column}")
     return found
 
 
@@ -115,7 +120,7 @@ def faults(rules: RuleSet) -> tuple[list[Reason], list[Reason]]:
     after = [(f"unknown_{c}", F.col(f"_has_{c}").isNull()) for c, _ in rules.parents]
     if rules.event_date:
         after += unreadable_date(rules.event_date)
-    return before, after
+    return before, after + numbers_out_of_range(rules.columns)
 
 
 def faultless(rules: RuleSet) -> Column:
@@ -132,6 +137,7 @@ def faultless(rules: RuleSet) -> Column:
         + [~test() for _, test in rules.checks]
         + [F.col(f"_has_{c}").isNotNull() for c, _ in rules.parents]
         + ([parse_date(rules.event_date).isNotNull()] if rules.event_date else [])
+        + [~test for _, test in numbers_out_of_range(rules.columns)]
     )
     return reduce(Column.__and__, tests)
 
@@ -188,7 +194,7 @@ def explain_rows(checked: DataFrame, rules: RuleSet) -> DataFrame:
 def reject(checked: DataFrame, rules: RuleSet, staged: bool = False) -> DataFrame:
     """Raw values and reasons of the rows that are not accepted.
 
-    The checked rows are read twice, so large ones are staged unless they already are.
+    The checked rows are read twice, so they are staged unless they already are.
     """
-    checked = checked if staged else stage_if_large(checked)
+    checked = checked if staged else stage(checked)
     return explain_rows(checked, rules).filter(F.col("error_reason") != "")

@@ -1,17 +1,11 @@
 """N:1 joins that survive hot keys, and staging of intermediate results.
 
-A key may hold a third of all rows. Hash-partitioning on it would send those
-rows to one task, so large inputs take three steps instead:
-
-1. one pass over the key column finds the most frequent keys (a sketch per
-   task, merged; never a shuffle of the keys);
-2. those few keys are looked up through a broadcast of at most ``HOT_KEYS`` rows;
-3. every other row is looked up through an ordinary shuffled join, in which hot
-   rows and rows without a key carry a scattered key that matches nothing.
-
-The sketch only chooses the route of a row. Both routes give the same answer, so
-the result is exact whichever keys are found. What remains for step 3 holds at
-most about 1/``HOT_KEYS`` of the rows per key.
+A key may hold a third of all rows, and hash partitioning sends them to one
+partition. Adaptive execution splits such a partition and repeats the matching
+rows of the other side, but only where both sides of the join come straight from
+an exchange of their own. A lookup that an aggregate or window has already
+partitioned by the key has none, so it is dealt out evenly first. That is one way
+for every size; small lookups are broadcast by their measured size.
 """
 
 from __future__ import annotations
@@ -20,87 +14,11 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-HOT_KEYS = 1000
-SKETCH_ITEMS = 10000
-SCATTER = 16384
-
-# Below this much input, a single key fits comfortably in one task, and neither
-# an extra pass nor an extra write pays. Override with the session setting of
-# this name.
-MIN_BYTES_SETTING = "creditlake.skew.minInputBytes"
-MIN_BYTES = 512 * 1024 * 1024
-
 
-def input_bytes(df: DataFrame) -> int:
-    """Bytes of all tables that ``df`` reads, by their statistics."""
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves().iterator()
-    total = 0
-    while leaves.hasNext():
-        total += int(str(leaves.next().stats().sizeInBytes()))
-    return total
-
-
-def is_large(df: DataFrame) -> bool:
-    """Whether ``df`` reads enough for a hot key to overload one task.
-
-    This only chooses between two exact ways of doing the same.
-    """
-    limit = int(df.sparkSession.conf.get(MIN_BYTES_SETTING, str(MIN_BYTES)))
-    return input_bytes(df) >= limit
 
-
-def hot_keys(df: DataFrame, key: str, most: int = HOT_KEYS) -> DataFrame:
-    """The most frequent values of ``key``, at most ``most`` rows."""
-    top = df.agg(F.expr(f"approx_top_k(`{key}`, {most}, {max(most, SKETCH_ITEMS)})").alias("top"))
-    return top.select(F.explode("top.item").alias(key)).filter(F.col(key).isNotNull()).distinct()
-
-
-def lookup_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    on: str,
-    keys_from: DataFrame | None = None,
-    large: bool | None = None,
-) -> DataFrame:
-    """Left join of ``rows`` to ``lookup``, which holds every value of ``on`` at most once.
-
-    ``keys_from`` is a cheaper frame with the same values of ``on`` as ``rows``
-    (for instance the stored table that ``rows`` comes from). ``large`` is for
-    callers that know the size better than the statistics do. Rows should differ
-    in some column, such as an id or a row order, or copies stay together.
-    """
-    keys_from = rows if keys_from is None else keys_from
-    if not (is_large(keys_from) if large is None else large):
-        return rows.join(lookup, on, "left")
-
-    values = [c for c in lookup.columns if c != on]
-    packed = lookup.select(on, F.struct(*values).alias("_found"))
-    few = (
-        hot_keys(keys_from, on)
-        .join(packed, on, "left")
-        .select(on, F.lit(True).alias("_hot"), F.col("_found").alias("_found_hot"))
-    )
-    # By content, not by position: a task that runs again must send every row the same way.
-    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(SCATTER))
-    scattered = F.concat(F.lit("hot:"), spread.cast("string"))
-    routed = rows.join(F.broadcast(few), on, "left").withColumn(
-        "_route",
-        F.when(F.col("_hot") | F.col(on).isNull(), scattered).otherwise(
-            F.concat(F.lit("key:"), F.col(on).cast("string"))
-        ),
-    )
-    cold = packed.select(
-        F.concat(F.lit("key:"), F.col(on).cast("string")).alias("_route"), F.col("_found").alias("_found_cold")
-    )
-    found = F.when(F.col("_hot"), F.col("_found_hot")).otherwise(F.col("_found_cold"))
-    joined = routed.join(cold, "_route", "left").withColumn("_found", found)
-    return joined.select(
-        on,
-        *[F.col(c) for c in rows.columns if c != on],
-        *[F.col(f"_found.{c}").alias(c) for c in values],
-    )
+def lookup_join(rows: DataFrame, lookup: DataFrame, on: str) -> DataFrame:
+    """Left join of ``rows`` to ``lookup``, which holds every value of ``on`` at most once."""
+    return rows.join(lookup.hint("rebalance"), on, "left")
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -127,8 +45,3 @@ def stage(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def stage_if_large(df: DataFrame) -> DataFrame:
-    """Stage what would be expensive to compute again; leave small work to one plan."""
-    return stage(df) if is_large(df) else df

@@ -305,6 +305,37 @@ def _alerts(threshold: int, skip: str = _UNKNOWN_CUSTOMER) -> str:
         FROM walk WHERE fired"""
 
 
+def _alerts_of_repeats(threshold: int) -> str:
+    """The same walk over events of which every third comes again; an event that has alerted is passed over."""
+    return f"""
+        WITH RECURSIVE {_needed('movements')},
+        both AS (
+          SELECT event_id, transaction_id, customer_id, event_time, transaction_type, amount FROM movements
+          UNION ALL
+          SELECT event_id, transaction_id, customer_id, event_time + INTERVAL 1 HOUR, 'cash_out', amount * 2
+          FROM movements WHERE event_id % 3 = 0),
+        rescored AS ({_CTES['scored'].replace('FROM movements', 'FROM both')}),
+        numbered AS MATERIALIZED (
+          SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY event_time, event_id, transaction_id, base) AS n
+          FROM rescored WHERE base + 20 >= {threshold}),
+        walk AS (
+          SELECT n, event_id, transaction_id, customer_id, rule_name, least(base, 99) AS risk_score,
+                 least(base, 99) >= {threshold} AS fired,
+                 CASE WHEN least(base, 99) >= {threshold} THEN [event_id] ELSE [] END AS seen
+          FROM numbered WHERE n = 1
+          UNION ALL
+          SELECT n, event_id, transaction_id, customer_id, rule_name, score, fired,
+                 CASE WHEN fired THEN list_append(seen, event_id) ELSE seen END
+          FROM (SELECT e.n, e.event_id, e.transaction_id, e.customer_id, e.rule_name, w.seen,
+                       least(e.base + least(5 * len(w.seen), 20), 99) AS score,
+                       least(e.base + least(5 * len(w.seen), 20), 99) >= {threshold}
+                       AND NOT list_contains(w.seen, e.event_id) AS fired
+                FROM walk w JOIN numbered e ON e.customer_id = w.customer_id AND e.n = w.n + 1))
+        SELECT 'STREAM-' || {_pad('', 'event_id', 12)} AS alert_id, transaction_id, customer_id, rule_name,
+               risk_score::INTEGER AS risk_score, 'OPEN' AS alert_status
+        FROM walk WHERE fired"""
+
+
 def _closure(sql: str) -> list[str]:
     """Names of the expressions that ``sql`` uses, directly or not, in dependency order."""
     wanted: set[str] = set()
@@ -453,8 +484,10 @@ ORACLE: dict[str, str] = {
     "alerts_batch": _alerts(75),
     "alerts_batch_60": _alerts(60),
     "alerts_incremental": _alerts(60, "base >= 80"),
+    "alerts_repeated_events": _alerts_of_repeats(60),
     "alerts_stream": _alerts(75),
     "quality_row_counts": _query(_row_counts()),
+    "csv_run_counts": _query(_row_counts()),
     "quality_issues": _query(_issues()),
     "quality_status": _query(
         f"SELECT CASE WHEN count(*) > 0 THEN 'passed_with_warnings' ELSE 'passed' END AS status FROM ({_issues()})"
@@ -481,3 +514,7 @@ ORACLE: dict[str, str] = {
         SELECT loan_id, disbursement_date, term_months, (disbursement_date + (30 * term_months)::INTEGER)::DATE AS due_date
         FROM s_loans"""),
 }
+
+# The run over CSV extracts must give what the plans give over the tables.
+ORACLE["csv_run_summary"] = ORACLE["portfolio_summary"]
+ORACLE["csv_run_repayments_by_year"] = ORACLE["fact_repayments_by_year"]

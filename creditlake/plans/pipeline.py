@@ -47,7 +47,7 @@ class PipelineResult:
             raise RuntimeError(f"run {self.run_id} failed: {self.issues}")
 
 
-def load_bronze(spark: SparkSession, source: str, target: str, multi_line: bool = True) -> tuple[dict, list]:
+def load_bronze(spark: SparkSession, source: str, target: str, multi_line: bool = False) -> tuple[dict, list]:
     """Stored bronze frames by table, and the tables whose extract is missing."""
     ingested_at = F.lit(datetime.now(timezone.utc).replace(microsecond=0))
     bronze, missing = {}, []
@@ -88,7 +88,7 @@ def build_gold(silver: dict[str, DataFrame], target: str) -> dict[str, DataFrame
     return gold
 
 
-def run_pipeline(spark: SparkSession, source: str, target: str, multi_line: bool = True) -> PipelineResult:
+def run_pipeline(spark: SparkSession, source: str, target: str, multi_line: bool = False) -> PipelineResult:
     """Read ``source``/<table>.csv, write all layers under ``target`` and return the report."""
     started = datetime.now(timezone.utc)
     run_id = started.strftime("%Y%m%dT%H%M%SZ")

@@ -31,12 +31,13 @@ from ..operators.quality import (
 )
 from ..operators.rules import explain_rows
 from ..operators.schedule import instalment_schedule, large_movements, with_due_date
-from ..operators.skew import lookup_join, shared_folder
-from ..sources.io import fact_by_year, with_metadata
-from ..sources.schemas import GOLD, conform
+from ..operators.skew import lookup_join, shared_folder, stage
+from ..sources.io import fact_by_year, with_metadata, write_csv
+from ..sources.schemas import GOLD, SOURCE_COLUMNS, conform
 from ..sources.tpch import LINE_ORDER, TpchExtracts, line_amount
 from ..streaming.alerts import read_alerts, start_alerts
 from .gold import GoldPlan, loan_balances, loan_rollup, loan_status_names, total_by
+from .pipeline import PipelineResult, run_pipeline
 from .silver import RULES, SILVER_ORDER, SilverPlan, latest_version, merge_increment
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -212,10 +213,8 @@ _ALERT_OUT = ("alert_id", "transaction_id", "customer_id", "rule_name", "risk_sc
 
 
 def _of_known_customers(events: DataFrame, extracts: TpchExtracts) -> DataFrame:
-    """Events whose customer is in the silver layer. Works for a stream as well."""
+    """Events whose customer is in the silver layer."""
     customers = SilverPlan(extracts).table("customers").select("customer_id", F.lit(True).alias("_known"))
-    if events.isStreaming:
-        return events.join(customers.select("customer_id"), "customer_id", "left_semi")
     return lookup_join(events, customers, "customer_id").filter("_known").drop("_known")
 
 
@@ -236,16 +235,32 @@ def alerts_incremental(spark: SparkSession, folder: str) -> DataFrame:
     return score_alerts(events, 60, known=known).select(*_ALERT_OUT)
 
 
+def repeated_events(spark: SparkSession, folder: str) -> DataFrame:
+    """The events, and every third of them once more: an hour later, at twice the amount, as cash-out."""
+    events = TpchExtracts(spark, folder).stream_events()
+    again = events.filter(F.col("event_id").cast("bigint") % 3 == 0).withColumns(
+        {
+            "event_time": F.col("event_time") + F.expr("INTERVAL 1 HOUR"),
+            "amount": (F.col("amount").cast("decimal(18,2)") * 2).cast("decimal(18,2)").cast("string"),
+            "transaction_type": F.lit("cash_out"),
+        }
+    )
+    return events.unionByName(again)
+
+
+def alerts_repeated_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Alerts where event ids come again with other amounts: the first occurrence that alerts counts."""
+    return score_alerts(repeated_events(spark, folder), 60).select(*_ALERT_OUT)
+
+
 def alerts_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The streaming job over the event file, then its alerts read back."""
+    """The streaming job over the events as a folder of four files, a micro-batch each, then its alerts."""
     extracts = TpchExtracts(spark, folder)
-    raw = (
-        spark.readStream.schema(extracts.read("events").schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(folder)
-    )
     work = f"{shared_folder(spark)}/alerts-{uuid.uuid4().hex}"
-    events = _of_known_customers(extracts.as_stream_events(raw), extracts)
+    known = stage(_of_known_customers(extracts.stream_events(), extracts))
+    parts = known.repartitionByRange(4, "event_time").sortWithinPartitions("event_time", "event_id")
+    parts.write.parquet(f"{work}/in")
+    events = spark.readStream.schema(known.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/in")
     start_alerts(events, f"{work}/out", f"{work}/progress").awaitTermination()
     return read_alerts(spark, f"{work}/out").select(*_ALERT_OUT)
 
@@ -307,6 +322,32 @@ def fact_repayments_by_year(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _csv_run(spark: SparkSession, folder: str) -> PipelineResult:
+    """The whole run over CSV extracts of the given tables, written to the shared folder first."""
+    work = f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
+    extracts = TpchExtracts(spark, folder)
+    for name in SOURCES:
+        write_csv(extracts[name].orderBy("_row_seq"), f"{work}/in/{name}.csv", SOURCE_COLUMNS[name])
+    return run_pipeline(spark, f"{work}/in", f"{work}/lake")
+
+
+def csv_run_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per layer and table that the run reports."""
+    counts = _csv_run(spark, folder).row_counts
+    return spark.createDataFrame(sorted(counts.items()), "name string, row_count bigint")
+
+
+def csv_run_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return _csv_run(spark, folder).tables["gold.portfolio_summary"]
+
+
+def csv_run_repayments_by_year(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored repayment fact, per year of its partitions."""
+    return _csv_run(spark, folder).tables["gold.fact_repayments"].groupBy("year").agg(
+        F.count(F.lit(1)).alias("repayments"), F.sum("amount_paid").cast("decimal(38,2)").alias("amount_paid")
+    )
+
+
 QUERIES: dict[str, Query] = {
     **{f"silver_{t}": _silver_query(t) for t in SOURCES},
     **{f"quarantine_{t}": _quarantine_query(t) for t in SOURCES},
@@ -331,6 +372,7 @@ QUERIES: dict[str, Query] = {
     "alerts_batch": _alerts(75),
     "alerts_batch_60": _alerts(60),
     "alerts_incremental": alerts_incremental,
+    "alerts_repeated_events": alerts_repeated_events,
     "alerts_stream": alerts_stream,
     "quality_row_counts": quality_row_counts,
     "quality_issues": quality_issues_query,
@@ -338,6 +380,9 @@ QUERIES: dict[str, Query] = {
     "gold_constraint_tests": gold_constraint_tests,
     "bronze_metadata": bronze_metadata,
     "fact_repayments_by_year": fact_repayments_by_year,
+    "csv_run_counts": csv_run_counts,
+    "csv_run_summary": csv_run_summary,
+    "csv_run_repayments_by_year": csv_run_repayments_by_year,
     "line_amounts_half_even": line_amounts_half_even,
     "instalment_schedule": instalment_schedule_query,
     "loan_due_dates": loan_due_dates,

@@ -12,6 +12,7 @@ from ..functions.scalars import (
     code,
     label,
     money,
+    out_of_range,
     parse_date,
     parse_decimal,
     parse_timestamp,
@@ -20,7 +21,7 @@ from ..functions.scalars import (
 )
 from ..operators.keys import latest_per_key
 from ..operators.rules import RuleSet, accept, accept_checked, check, reject, to_silver
-from ..operators.skew import stage, stage_if_large
+from ..operators.skew import stage
 
 # The states a loan may be in.
 LOAN_STATUSES = ("ACTIVE", "CLOSED", "OVERDUE", "DEFAULTED")
@@ -147,7 +148,7 @@ class SilverPlan:
     """Silver layer over bronze frames; nothing runs until a frame is used.
 
     Two ways to save work where one plan reads a table several times: ``keep``
-    names silver tables that are staged when first asked for and large, and with
+    names silver tables that are staged when first asked for, and with
     ``staged`` the checked rows of every table are staged.
     """
 
@@ -176,7 +177,7 @@ class SilverPlan:
                 else accept(self.bronze[table], rules, self.parents(table))
             )
             silver = to_silver(accepted, rules)
-            self._tables[table] = stage_if_large(silver) if table in self.keep else silver
+            self._tables[table] = stage(silver) if table in self.keep else silver
         return self._tables[table]
 
     def quarantine(self, table: str) -> DataFrame:
@@ -201,7 +202,7 @@ def latest_version(bronze: DataFrame, table: str, *ties: str) -> DataFrame:
     rows = bronze.filter(F.col(rules.key).isNotNull())
     if amount:
         number = clean(amount[0]).try_cast("decimal(38,9)")
-        rows = rows.filter(number >= 0 if amount[1] else number > 0)
+        rows = rows.filter((number >= 0 if amount[1] else number > 0) & ~out_of_range(amount[0]))
     dated = rows.withColumns({"_key": code(rules.key), "_moment": parse_date(moment)})
     return to_silver(latest_per_key(dated, "_key", "_moment", *ties), rules)
 

@@ -33,16 +33,18 @@ def _empty(spark: SparkSession, columns: Iterable[str]) -> DataFrame:
 
 
 def read_csv(
-    spark: SparkSession, path: str, columns: Sequence[str] = (), multi_line: bool = True
+    spark: SparkSession, path: str, columns: Sequence[str] = (), multi_line: bool = False
 ) -> DataFrame | None:
     """A CSV extract with a header, every column as text. None when the path is missing.
 
     Columns come from the header; those of ``columns`` that it lacks are NULL.
-    With ``multi_line`` a quoted field may hold line breaks, and then a file is
-    read by one task: deliver large extracts as folders of many files, or switch
-    it off when no field holds a line break.
+    The files of a folder must have the same header; another order or name fails
+    the read instead of moving values between columns. With ``multi_line`` a
+    quoted field may hold line breaks, and then a file is read by one task;
+    without it files are split.
     """
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    reader = reader.option("enforceSchema", False)
     rows = _or_none(reader.csv, path)
     if rows is None:
         return None
@@ -67,7 +69,7 @@ def with_metadata(rows: DataFrame, ingested_at: Column) -> DataFrame:
 
 
 def read_bronze_csv(
-    spark: SparkSession, path: str, columns: Sequence[str], ingested_at: Column, multi_line: bool = True
+    spark: SparkSession, path: str, columns: Sequence[str], ingested_at: Column, multi_line: bool = False
 ) -> DataFrame | None:
     rows = read_csv(spark, path, (), multi_line)
     if rows is None:

@@ -137,8 +137,8 @@ class TpchExtracts(Mapping):
         part = self.read("part").select("p_partkey", "p_size")
         customer = self.read("customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
         rows = lookup_join(orders, first_part, "o_orderkey")
-        rows = lookup_join(rows, part, "p_partkey", keys_from=first_part)
-        rows = lookup_join(rows, customer, "o_custkey", keys_from=orders)
+        rows = lookup_join(rows, part, "p_partkey")
+        rows = lookup_join(rows, customer, "o_custkey")
         term = F.substring("o_orderpriority", 1, 1).cast("int") * 3
         disbursed = _day("o_orderdate")
         status = (
@@ -166,7 +166,7 @@ class TpchExtracts(Mapping):
         is_returned = F.col("l_returnflag") == "R"
         lines = self.ordered("lineitem", *LINE_ORDER).filter(is_returned if returned else ~is_returned)
         orders = self.read("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-        return lookup_join(lines, orders, "l_orderkey", keys_from=self.read("lineitem"))
+        return lookup_join(lines, orders, "l_orderkey")
 
     def _line_id(self, prefix: str) -> Column:
         return F.concat(padded_id(prefix, "l_orderkey", 7), padded_id("", "l_linenumber", 2))

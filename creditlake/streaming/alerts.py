@@ -5,14 +5,18 @@ earlier ones, so the stream gives the same alerts as one batch over the same
 events as long as each customer's events arrive in order, and a hot customer is
 handled as in the batch.
 
-State and output are folders with one sub-folder per micro-batch. A batch that
-is run again after a failure overwrites its own sub-folders and reads only
-those of earlier batches, so every alert appears exactly once.
+Output is one sub-folder per micro-batch; a batch that is run again after a
+failure overwrites its own, so every alert appears exactly once.
 
 * ``alerts/batch=N``  alerts raised by batch N
-* ``state/batch=N``   for customers that alerted in batch N, their alerts so far,
-  up to the four that matter; a customer therefore has at most four state rows
-* ``log/batch=N``     events processed, alerts emitted, threshold
+* ``log/batch=N``     events processed, alerts emitted, threshold; written last
+* ``state/slot=S``    what batch N (S = N mod 3) leaves to the next one, see below
+
+The state is a snapshot: per customer the number of alerts, up to the four that
+matter, and the ids of alerts whose event is at most ``remember`` older than the
+newest one. A batch reads the snapshot of the batch before and writes its own, so
+it costs the same however long the stream has run. An event that is delivered
+again later than that may alert again.
 """
 
 from __future__ import annotations
@@ -23,13 +27,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.scalars import now
-from ..operators.alerts import MAX_STATE, THRESHOLD, score_alerts
+from ..operators.alerts import MAX_STATE, THRESHOLD, alert_id, score_alerts
+from ..operators.skew import stage
 from ..sources.schemas import STREAM_ALERT, STREAM_EVENT
 
-# From this many events on, a micro-batch takes the route for hot customers.
-LARGE_BATCH = 5_000_000
-
-STATE = "customer_id string, alerts int"
+# The kinds of state rows: a customer's count, and an alert that was raised.
+STATE = "customer_id string, alerts int, alert_id string, event_time timestamp, batch bigint"
+SLOTS = 3
+REMEMBER = "30 days"
 
 
 def read_events(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
@@ -42,48 +47,56 @@ def read_events(spark: SparkSession, folder: str, files_per_batch: int = 1000) -
     )
 
 
-def _stored(spark: SparkSession, path: str, schema: str, before: int) -> DataFrame:
-    """Rows that batches earlier than ``before`` have written."""
+def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
-        rows = spark.read.schema(f"{schema}, batch bigint").option("basePath", path).parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error.getCondition()):
             raise
         return spark.createDataFrame([], schema)
-    return rows.filter(F.col("batch") < before).drop("batch")
 
 
-def customer_state(spark: SparkSession, target: str, before: int) -> DataFrame:
-    states = _stored(spark, f"{target}/state", STATE, before)
-    return states.groupBy("customer_id").agg(F.max("alerts").alias("alerts"))
+def snapshot(spark: SparkSession, target: str, batch: int) -> DataFrame:
+    """The state that batch ``batch`` has left."""
+    if batch < 0:
+        return spark.createDataFrame([], STATE)
+    rows = _stored(spark, f"{target}/state/slot={batch % SLOTS}", STATE)
+    return rows.filter(F.col("batch") == batch)
 
 
-def process_batch(events: DataFrame, batch: int, target: str, threshold: int = THRESHOLD) -> None:
+def process_batch(
+    events: DataFrame, batch: int, target: str, threshold: int = THRESHOLD, remember: str = REMEMBER
+) -> None:
     spark = events.sparkSession
-    events = events.persist()
-    try:
-        known = _stored(spark, f"{target}/alerts", STREAM_ALERT, batch)
-        prior = customer_state(spark, target, batch)
-        path = f"{target}/alerts/batch={batch}"
-        arrived = events.count()
-        score_alerts(events, threshold, known, prior, arrived >= LARGE_BATCH).write.mode("overwrite").parquet(path)
-
-        alerts = spark.read.schema(STREAM_ALERT).parquet(path)
-        raised = alerts.groupBy("customer_id").agg(F.count(F.lit(1)).alias("new"))
-        total = F.least(F.coalesce("alerts", F.lit(0)) + F.col("new"), F.lit(MAX_STATE)).cast("int")
-        grown = raised.join(prior, "customer_id", "left").filter(F.coalesce("alerts", F.lit(0)) < MAX_STATE)
-        grown.select("customer_id", total.alias("alerts")).write.mode("overwrite").parquet(
-            f"{target}/state/batch={batch}"
-        )
-
-        alerts.agg(F.count(F.lit(1)).alias("alerts_emitted")).select(
-            "alerts_emitted",
-            now().alias("event_time"),
-            F.lit(arrived).alias("events_processed"),
-            F.lit(threshold).alias("threshold"),
-        ).write.mode("overwrite").json(f"{target}/log/batch={batch}")
-    finally:
-        events.unpersist()
+    events = stage(events)
+    before = snapshot(spark, target, batch - 1)
+    known = before.filter("alert_id IS NOT NULL")
+    prior = before.filter("alert_id IS NULL").select("customer_id", "alerts")
+    path = f"{target}/alerts/batch={batch}"
+    score_alerts(events, threshold, known, prior).write.mode("overwrite").parquet(path)
+
+    alerts = spark.read.schema(STREAM_ALERT).parquet(path)
+    raised = alerts.groupBy("customer_id").agg(F.count(F.lit(1)).cast("int").alias("alerts"))
+    counts = prior.unionByName(raised).groupBy("customer_id").agg(
+        F.least(F.sum("alerts"), F.lit(MAX_STATE)).cast("int").alias("alerts")
+    )
+    moments = events.groupBy(alert_id("event_id").alias("alert_id")).agg(F.max("event_time").alias("event_time"))
+    new = alerts.select("alert_id").join(moments, "alert_id")
+    ids = known.select("alert_id", "event_time").unionByName(new)
+    newest = ids.agg(F.max("event_time").alias("newest"))
+    recent = ids.join(F.broadcast(newest), F.expr(f"event_time >= newest - INTERVAL {remember}"))
+    none = F.lit(None)
+    state = counts.select("customer_id", "alerts", none.cast("string").alias("alert_id"), none.cast("timestamp").alias("event_time"))
+    state = state.unionByName(
+        recent.select(none.cast("string").alias("customer_id"), none.cast("int").alias("alerts"), "alert_id", "event_time")
+    )
+    state.withColumn("batch", F.lit(batch).cast("bigint")).write.mode("overwrite").parquet(
+        f"{target}/state/slot={batch % SLOTS}"
+    )
+    arrived = events.agg(F.count(F.lit(1)).alias("events_processed"))
+    alerts.agg(F.count(F.lit(1)).alias("alerts_emitted")).crossJoin(F.broadcast(arrived)).select(
+        "alerts_emitted", now().alias("event_time"), "events_processed", F.lit(threshold).alias("threshold")
+    ).write.mode("overwrite").json(f"{target}/log/batch={batch}")
 
 
 def start_alerts(
@@ -107,13 +120,22 @@ def start_alerts(
 
 
 def read_alerts(spark: SparkSession, target: str) -> DataFrame:
-    """All alerts of the completed batches."""
-    return spark.read.schema(STREAM_ALERT).option("recursiveFileLookup", True).parquet(f"{target}/alerts")
+    """All alerts of the completed batches, that is of those in the log."""
+    alerts = _stored(spark, f"{target}/alerts", f"{STREAM_ALERT}, batch bigint")
+    if "batch" not in alerts.columns:
+        alerts = alerts.withColumn("batch", F.lit(None).cast("bigint"))
+    done = F.broadcast(read_log(spark, target).select("batch").distinct())  # one row per micro-batch
+    return alerts.join(done, "batch", "left_semi").drop("batch")
 
 
 def read_log(spark: SparkSession, target: str) -> DataFrame:
-    schema = "alerts_emitted bigint, event_time timestamp, events_processed bigint, threshold int"
-    return spark.read.schema(schema).option("recursiveFileLookup", True).json(f"{target}/log")
+    schema = "alerts_emitted bigint, event_time timestamp, events_processed bigint, threshold int, batch bigint"
+    try:
+        return spark.read.schema(schema).json(f"{target}/log")
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error.getCondition()):
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def all_alerts(batch_alerts: DataFrame, stream_alerts: DataFrame) -> DataFrame:

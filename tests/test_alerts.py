@@ -6,10 +6,9 @@ from decimal import Decimal
 import pytest
 
 from creditlake.operators.alerts import score_alerts
-from creditlake.operators.skew import MIN_BYTES_SETTING
 from creditlake.sources.io import append_jsonl, read_jsonl
 from creditlake.sources.schemas import STREAM_ALERT, STREAM_EVENT
-from creditlake.streaming.alerts import all_alerts, process_batch, read_alerts, read_events, read_log, start_alerts
+from creditlake.streaming.alerts import all_alerts, process_batch, read_alerts, read_events, read_log, snapshot, start_alerts
 
 COLUMNS = "event_id transaction_id customer_id event_time transaction_type amount channel merchant_category".split()
 START = datetime(2024, 1, 1)
@@ -54,21 +53,13 @@ def result(alerts):
     return sorted(tuple(r) for r in alerts.drop("alert_time").collect())
 
 
-@pytest.fixture(params=["window", "aggregate"])
-def route(request, spark):
-    if request.param == "aggregate":
-        spark.conf.set(MIN_BYTES_SETTING, "0")
-    yield
-    spark.conf.unset(MIN_BYTES_SETTING)
-
-
 @pytest.mark.parametrize("threshold", [20, 45, 60, 75, 80, 85, 99, 100])
-def test_alerts_match_a_sequential_pass(spark, route, threshold):
+def test_alerts_match_a_sequential_pass(spark, threshold):
     rows = events(400, threshold)
     assert result(score_alerts(frame(spark, rows), threshold)) == sequential(rows, threshold)
 
 
-def test_known_alerts_and_prior_counts(spark, route):
+def test_known_alerts_and_prior_counts(spark):
     rows = events(300, 5)
     known = [f"STREAM-E{i:05d}" for i in range(0, 300, 4)]
     counts = {"hot": 2, "c1": 9}
@@ -81,7 +72,7 @@ def test_known_alerts_and_prior_counts(spark, route):
     assert result(found) == sequential(rows, 60, known, counts)
 
 
-def test_memory_of_one_customer(spark, route):
+def test_memory_of_one_customer(spark):
     kinds = ["cash_out", "cash_out", "cash_out", "transfer"]
     rows = [(f"E{i}", f"T{i}", "c", START + timedelta(seconds=i), k, "80000", "a", "b") for i, k in enumerate(kinds)]
     assert [r[4] for r in result(score_alerts(frame(spark, rows), 60))] == [60, 65, 70, 60]
@@ -134,12 +125,52 @@ def test_a_batch_that_runs_again_replaces_its_output(spark, tmp_path):
     assert result(read_alerts(spark, target)) == sequential(rows, 60)
 
 
-def test_large_batches_take_the_route_for_hot_customers(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("creditlake.streaming.alerts.LARGE_BATCH", 1)
-    rows, target = events(300, 8), str(tmp_path / "out")
-    for batch in range(3):
-        process_batch(frame(spark, rows[batch * 100 : batch * 100 + 100]), batch, target, 60)
-    assert result(read_alerts(spark, target)) == sequential(rows, 60)
+def test_a_repeated_event_alerts_at_its_first_alerting_occurrence(spark, tmp_path):
+    """Probe: A does not alert at first; X and Y raise the customer's state; then A does."""
+    kinds = [("A", "transfer", "80000"), ("X", "cash_out", "150000"), ("Y", "cash_out", "150000"), ("A", "cash_out", "150000"), ("A", "cash_out", "150000")]
+    rows = [(f"E{n}", f"T{i}", "c", START + timedelta(seconds=i), k, a, "app", "x") for i, (n, k, a) in enumerate(kinds)]
+    expected = sequential(rows, 60)
+    assert [r[4] for r in expected] == [90, 80, 85]
+    assert result(score_alerts(frame(spark, rows), 60)) == expected
+    for batch, row in enumerate(rows):
+        process_batch(frame(spark, [row]), batch, str(tmp_path / "out"), 60)
+    assert result(read_alerts(spark, str(tmp_path / "out"))) == expected
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_changed_repeats_match_a_sequential_pass(spark, seed):
+    rng = random.Random(seed)
+    rows = events(150, seed)
+    later = [
+        (r[0], f"{r[1]}b", r[2], START + timedelta(seconds=100 + i), rng.choice(["cash_out", "transfer"]), rng.choice(["150000", "80000", "100"]), "app", "x")
+        for i, r in enumerate(rng.choices(rows, k=150))
+    ]
+    assert result(score_alerts(frame(spark, rows + later), 60)) == sequential(rows + later, 60)
+
+
+def test_alerts_do_not_depend_on_exchange_reuse(spark):
+    rows = events(300, 11)
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        assert result(score_alerts(frame(spark, rows), 60)) == sequential(rows, 60)
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_state_does_not_grow_with_the_stream(spark, tmp_path):
+    """Each batch reads one snapshot; alerts older than the horizon are forgotten."""
+    target = str(tmp_path / "out")
+    for batch in range(5):
+        rows = [(f"E{batch}", f"T{batch}", "c", START + timedelta(days=20 * batch), "cash_out", "150000", "app", "x")]
+        process_batch(frame(spark, rows), batch, target, 60)
+    left = snapshot(spark, target, 4).collect()
+    assert sorted(r["alert_id"] or "" for r in left) == ["", "STREAM-E3", "STREAM-E4"]
+    assert len(list((tmp_path / "out" / "state").iterdir())) == 3
+    assert read_alerts(spark, target).count() == 5
+
+
+def test_reading_before_the_first_batch(spark, tmp_path):
+    assert read_alerts(spark, str(tmp_path / "none")).count() == 0
 
 
 def test_json_lines(spark, tmp_path):

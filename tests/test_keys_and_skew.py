@@ -5,14 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from creditlake.operators.keys import dedupe_first, dedupe_rejects, dense_keys, latest_per_key, newer_than, small_dense_keys, upsert
-from creditlake.operators.skew import MIN_BYTES_SETTING, hot_keys, input_bytes, lookup_join
-
-
-@pytest.fixture
-def hot(spark):
-    spark.conf.set(MIN_BYTES_SETTING, "0")
-    yield
-    spark.conf.unset(MIN_BYTES_SETTING)
+from creditlake.operators.skew import lookup_join
 
 
 def skewed(spark, n=30000):
@@ -28,38 +21,31 @@ def lookup(spark):
     return some.union(spark.createDataFrame([("hot", -1)], "key string, value bigint"))
 
 
-def test_hot_lookup_equals_plain_join(spark, hot):
-    rows, found = skewed(spark), lookup(spark)
-    plain = rows.join(found, "key", "left")
-    routed = lookup_join(rows, found, "key")
-    assert routed.columns == plain.columns
-    assert Counter(map(tuple, routed.collect())) == Counter(map(tuple, plain.collect()))
-
+SPLITTING = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+}
 
-def test_hot_keys_are_few_and_include_the_hottest(spark):
-    keys = [r[0] for r in hot_keys(skewed(spark), "key", 10).collect()]
-    assert "hot" in keys and len(keys) <= 10
 
-
-def test_hot_rows_do_not_meet_in_one_partition(spark, hot):
-    """With broadcasts of the cold side switched off, the rows of the hot key spread over the shuffle."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+def test_lookup_splits_a_key_with_a_third_of_the_rows(spark):
+    """Also where the lookup comes from an aggregate, which leaves it partitioned by the key."""
+    for name, value in SPLITTING.items():
+        spark.conf.set(name, value)
     try:
-        routed = lookup_join(skewed(spark), lookup(spark), "key")
-        sizes = [r["count"] for r in routed.groupBy(F.spark_partition_id()).count().collect()]
-        assert "hashpartitioning(_route" in routed._jdf.queryExecution().executedPlan().toString()
+        rows = skewed(spark, 90000).repartition(12)
+        found = lookup(spark).groupBy("key").agg(F.max("value").alias("value"))
+        plain = rows.join(found, "key", "left")
+        joined = lookup_join(rows, found, "key")
+        assert joined.columns == plain.columns
+        assert Counter(map(tuple, joined.collect())) == Counter(map(tuple, plain.collect()))
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.enabled")
-    assert max(sizes) < 30000 / 8 * 1.5
-
-
-def test_input_bytes_counts_every_table(spark, tmp_path):
-    spark.range(1000).write.parquet(str(tmp_path / "a"))
-    one = spark.read.parquet(str(tmp_path / "a"))
-    assert 0 < input_bytes(one) < 100000
-    assert input_bytes(one.join(one.select("id"), "id")) == 2 * input_bytes(one)
+        for name in SPLITTING:
+            spark.conf.unset(name)
 
 
 @pytest.mark.parametrize("n", [0, 1, 5000])

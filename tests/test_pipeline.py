@@ -69,7 +69,7 @@ def extracts(folder: Path, customers=25, seed=7):
 def run(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("lake")
     rows = extracts(folder / "source")
-    return rows, folder, run_pipeline(spark, str(folder / "source"), str(folder / "out"))
+    return rows, folder, run_pipeline(spark, str(folder / "source"), str(folder / "out"), multi_line=True)
 
 
 def test_counts_status_and_audit(spark, run):
@@ -171,3 +171,23 @@ def test_csv_round_trip_and_not_null(spark, tmp_path):
     assert read_csv(spark, str(tmp_path / "none")) is None
     with pytest.raises(Exception, match="must not be NULL"):
         conform(frame.select(F.col("a").alias("metric"), "b").withColumn("metric", F.lit(None)).withColumn("value", F.lit("")), GOLD["portfolio_summary"]).collect()
+
+
+def test_folders_with_two_header_orders_fail(spark, tmp_path):
+    (tmp_path / "t.csv").mkdir()
+    (tmp_path / "t.csv" / "a.csv").write_text("id,name,amount\n1,Ann,5\n")
+    (tmp_path / "t.csv" / "b.csv").write_text("name,id,amount\nBo,2,6\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(tmp_path / "t.csv")).collect()
+
+
+def test_csv_files_are_split(spark, tmp_path):
+    lines = "\n".join(f"{i},{'x' * 200}" for i in range(5000))
+    (tmp_path / "t.csv").write_text(f"id,name\n{lines}\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        rows = read_csv(spark, str(tmp_path / "t.csv"))
+        assert rows.rdd.getNumPartitions() > 4
+        assert rows.count() == 5000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

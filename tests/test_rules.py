@@ -1,24 +1,16 @@
 import random
 from datetime import date
+from decimal import Decimal
 
 import pytest
 
-from creditlake.operators.quality import duplicate_key_count
+from creditlake.functions.scalars import clean, code, money
+from creditlake.operators.quality import duplicate_key_count, not_null_failures, relationship_failures, unique_failures
 from creditlake.operators.rules import RuleSet, accept, accept_checked, check, explain_rows, reject, to_silver
-from creditlake.operators.skew import MIN_BYTES_SETTING
 from creditlake.plans.silver import RULES, SilverPlan, latest_version, merge_increment
 from creditlake.sources.schemas import SOURCE_COLUMNS
 
 
-@pytest.fixture(params=["plain", "hot"])
-def route(request, spark):
-    """Run a test with the ordinary joins and with the hot-key route."""
-    if request.param == "hot":
-        spark.conf.set(MIN_BYTES_SETTING, "0")
-    yield request.param
-    spark.conf.unset(MIN_BYTES_SETTING)
-
-
 def bronze(spark, table, rows):
     columns = SOURCE_COLUMNS[table]
     data = [(*[row.get(c) for c in columns], n) for n, row in enumerate(rows)]
@@ -65,7 +57,7 @@ def test_blank_required_fields_are_named_in_order(spark):
     assert reasons(plan, "customers") == ["customer_id|last_name|monthly_income"]
 
 
-def test_first_valid_row_wins(spark, route):
+def test_first_valid_row_wins(spark):
     rows = [customer(first_name=""), customer(email="1"), customer(email="2"), customer(first_name="")]
     plan = lake(spark, customers=rows)
     assert reasons(plan, "customers") == [
@@ -76,7 +68,7 @@ def test_first_valid_row_wins(spark, route):
     assert [r["email"] for r in plan.table("customers").collect()] == ["1"]
 
 
-def test_loan_reason_order_and_cascade(spark, route):
+def test_loan_reason_order_and_cascade(spark):
     rows = [loan(), loan(customer_id="", loan_amount="-1", loan_status="X")]
     assert reasons(lake(spark, loans=rows), "loans") == [
         "customer_id|loan_amount|loan_status|duplicate_loan_id|unknown_customer_id"
@@ -85,7 +77,7 @@ def test_loan_reason_order_and_cascade(spark, route):
     assert reasons(plan, "loans") == ["unknown_customer_id"]
 
 
-def test_unknown_parents_do_not_reserve_a_key(spark, route):
+def test_unknown_parents_do_not_reserve_a_key(spark):
     rows = [loan(product_id="P9", branch_id="zz"), loan()]
     plan = lake(spark, loans=rows)
     assert reasons(plan, "loans") == ["unknown_product_id|unknown_branch_id"]
@@ -143,7 +135,7 @@ def sequential(rows):
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_duplicate_rule_matches_a_sequential_pass(spark, route, seed):
+def test_duplicate_rule_matches_a_sequential_pass(spark, seed):
     random.seed(seed)
     keys = ["x", " X", "y", "Y ", "z", "", "hot", "hot", "hot"]
     rows = [(random.choice(keys), random.choice([0, 1, 1]), random.choice("AABC")) for _ in range(400)]
@@ -162,7 +154,7 @@ def test_duplicate_rule_matches_a_sequential_pass(spark, route, seed):
     assert sorted(int(r["n"]) for r in accept_checked(checked).collect()) == kept
 
 
-def test_exact_copies_are_kept_once(spark, route):
+def test_exact_copies_are_kept_once(spark):
     plan = lake(spark, customers=[customer()] * 50)
     assert plan.table("customers").count() == 1
     assert reasons(plan, "customers") == ["duplicate_customer_id"] * 49
@@ -191,3 +183,29 @@ def test_increment_replaces_older_and_equal_dates(spark):
     incoming = make([("a", day[1], "new"), ("b", day[1], "new"), ("c", day[0], "late"), ("d", day[0], "new")])
     merged = merge_increment(stored, incoming, "loans").collect()
     assert sorted((r["loan_id"], r["loan_status"]) for r in merged) == [("a", "new"), ("b", "new"), ("c", "old"), ("d", "new")]
+
+
+def test_numbers_too_large_are_rejected_and_never_become_zero(spark):
+    rules = RuleSet("t", "id", required=("id",), columns={"id": code, "amount": money, "note": clean})
+    texts = ["999999999999999.99", "1000000000000000", "-1e20", "abc", "", None, "NaN", "Infinity"]
+    rows = spark.createDataFrame([(f"K{i}", t, "n", i) for i, t in enumerate(texts)], "id string, amount string, note string, _row_seq bigint")
+    kept = {r["id"]: r["amount"] for r in to_silver(accept(rows, rules, {}), rules).collect()}
+    assert set(kept) == {"K0", "K3", "K4", "K5", "K6"} and kept["K0"] == Decimal("999999999999999.99")
+    reasons = {r["id"]: r["error_reason"] for r in reject(check(rows, rules, {}), rules).collect()}
+    assert reasons == {k: "out_of_range_amount" for k in ("K1", "K2", "K7")}
+
+
+def test_constraints_count_what_is_broken(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, None), (2, "b"), (None, "zz")], "id int, ref string")
+    assert {tuple(r) for r in not_null_failures(rows, "id", "ref").collect()} == {("id", 1), ("ref", 1)}
+    assert unique_failures(rows, "id").first()[0] == 1
+    parents = spark.createDataFrame([("a",), ("c",)], "name string")
+    assert relationship_failures(rows, "ref", parents, "name").first()[0] == 2
+
+
+def test_dirty_branches_go_to_quarantine(spark):
+    rows = [dict(branch_id="B1", branch_name="x"), dict(branch_id=" b1 ", branch_name="y"), dict(branch_name="z")]
+    plan = SilverPlan({"branches": bronze(spark, "branches", rows)})
+    assert [r["branch_id"] for r in plan.table("branches").collect()] == ["B1"]
+    reasons = sorted(r["error_reason"] for r in plan.quarantine("branches").collect())
+    assert reasons == ["branch_id", "duplicate_branch_id"]
