@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -56,12 +57,6 @@ class Settings:
     def most_different(self, both: int) -> int:
         return (100 - self.percent) * both // (100 + self.percent)
 
-    def largest_partner(self, size: int) -> int:
-        return 100 * size // self.percent
-
-    def smallest_partner(self, size: int) -> int:
-        return -(-self.percent * size // 100)
-
 
 def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
@@ -79,20 +74,46 @@ class WordHashes(dict):
         return found
 
 
-def shingle_set(raw: bytes | None, hashes: WordHashes, shingle: int) -> np.ndarray:
-    """The distinct shingles of a text in ascending order; of all its words when they are fewer."""
-    words = raw.translate(LOWER).split() if raw else []
-    if not words:
-        return np.empty(0, U)
-    h = np.fromiter(map(hashes.__getitem__, words), U, len(words))
-    n = min(shingle, len(words))
-    at = len(words) - n + 1
-    total = np.full(at, n, U)
-    for j in range(n):
-        total += h[j : j + at] * (FACTORS[j % len(FACTORS)] + U(2 * (j // len(FACTORS))))
-    total = mix(total)
-    total.sort()
-    return total[np.append(True, total[1:] != total[:-1])]
+def shingle_sets(texts: list[bytes | None], hashes: WordHashes, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingles of each text in ascending order, one text after the other, and their numbers.
+
+    A text of fewer words is one shingle of all its words.
+    """
+    words = [raw.translate(LOWER).split() if raw else [] for raw in texts]
+    n_words = np.array([len(w) for w in words], np.int64)
+    total = int(n_words.sum())
+    if not total:
+        return np.empty(0, U), np.zeros(len(texts), np.int64)
+    h = np.fromiter(map(hashes.__getitem__, chain.from_iterable(words)), U, total)
+    begins = np.cumsum(n_words) - n_words
+    at = max(0, total - shingle + 1)
+    windows = np.full(total, shingle, U)
+    for j in range(shingle):
+        windows[:at] += h[j : j + at] * factor(j)
+    for i in np.flatnonzero((n_words > 0) & (n_words < shingle)):
+        windows[begins[i]] = n_words[i]
+        for j in range(n_words[i]):
+            windows[begins[i] : begins[i] + 1] += h[begins[i] + j : begins[i] + j + 1] * factor(j)
+    windows = mix(windows)
+    sizes = np.where(n_words < shingle, np.minimum(n_words, 1), n_words - shingle + 1)
+    new = np.zeros(total, bool)
+    for begin, size in zip(begins.tolist(), sizes.tolist(), strict=True):
+        if size:
+            part = windows[begin : begin + size]
+            part.sort()
+            new[begin] = True
+            new[begin + 1 : begin + size] = part[1:] != part[:-1]
+    distinct = np.add.reduceat(np.append(new, False), np.minimum(begins, total), dtype=np.int64)
+    return windows[new], np.where(n_words > 0, distinct, 0)
+
+
+def factor(j: int) -> np.ndarray:
+    return FACTORS[j % len(FACTORS)] + np.full(1, 2 * (j // len(FACTORS)), U)
+
+
+def parts_of(shingles: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    ends = np.cumsum(sizes)
+    return [shingles[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
 
 
 def set_key(shingles: np.ndarray) -> int:
@@ -102,10 +123,7 @@ def set_key(shingles: np.ndarray) -> int:
 def parities(shingles: np.ndarray) -> bytes:
     """The parity of the number of shingles in each of 2^b hash ranges, about four per shingle."""
     b = max(8, (4 * len(shingles) - 1).bit_length())
-    odd = np.zeros(1 << b, np.uint8)
-    ranges, counts = np.unique(shingles >> U(64 - b), return_counts=True)
-    odd[ranges.astype(np.int64)] = counts & 1
-    return np.packbits(odd).tobytes()
+    return np.packbits(np.bincount((shingles >> U(64 - b)).astype(np.int64), minlength=1 << b) & 1).tobytes()
 
 
 def parity_distance(a: bytes, b: bytes) -> int:
@@ -117,36 +135,52 @@ def parity_distance(a: bytes, b: bytes) -> int:
     return int((np.bitwise_xor.reduce(x.reshape(len(y), -1), axis=1) ^ y).sum())
 
 
-def signatures(shingles: np.ndarray, s: Settings) -> Iterator[tuple[np.ndarray, int]]:
-    """Per band of a set: its signatures, and the most by which a similar set of the band can differ."""
-    size = len(shingles)
+def bands_of(sizes: np.ndarray, s: Settings) -> np.ndarray:
+    return np.where(sizes < s.small, 0, np.frexp(sizes.astype(np.float64))[1])
+
+
+def signatures(shingles: np.ndarray, sizes: np.ndarray, s: Settings) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(signatures, their sets, per set the most by which a similar set can differ), for the band of each
+    set and then, for those that have one, for the band below that smaller partners may be in."""
     hashed = mix(shingles + FACTORS[1])
-    bands = {0 if n < s.small else n.bit_length() for n in (s.smallest_partner(size), size)}
-    for band in sorted(bands):
-        largest = s.small - 1 if band == 0 else (1 << band) - 1  # of the smaller set of a pair in this band
-        k = s.most_different(size + (s.largest_partner(size) if size <= largest else largest))
-        if band == 0:
-            found = hashed
-        else:
-            ranges = int(s.ranges * (1 << (band - 1)))
-            which = (shingles >> U(32)) * U(ranges) >> U(32)
-            starts = np.flatnonzero(np.append(True, which[1:] != which[:-1]))
-            found = np.add.reduceat(hashed, starts)
-        yield mix(found + FACTORS[2:3] * U(band)), k
-
-
-def chosen_signatures(shingles: np.ndarray, s: Settings, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first k + 1 signatures of each band in the common order, and which of them are common."""
-    parts, flags = [], []
-    for found, k in signatures(shingles, s):
-        place = np.searchsorted(common, found)
-        late = common[np.minimum(place, len(common) - 1)] == found if len(common) else np.zeros(len(found), bool)
-        for group, flag in ((np.sort(found[~late]), False), (np.sort(found[late]), True)):
-            taken = group[: k + 1]
-            parts.append(taken)
-            flags.append(np.full(len(taken), flag))
-            k -= len(taken)
-    return np.concatenate(parts), np.concatenate(flags)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    place = np.arange(len(shingles), dtype=U)
+    own, below = bands_of(sizes, s), bands_of(-(-s.percent * sizes // 100), s)
+    for bands, wanted in ((own, sizes > 0), (below, (sizes > 0) & (below != own))):
+        chosen = wanted[owner]
+        if not chosen.any():
+            continue
+        largest = np.where(bands == 0, s.small - 1, (np.int64(1) << bands) - 1)  # of the smaller set of a pair
+        partner = np.where(sizes <= largest, 100 * sizes // s.percent, largest)
+        most = (100 - s.percent) * (sizes + partner) // (100 + s.percent)
+        ranges = np.where(bands == 0, 0, s.ranges * (np.int64(1) << np.maximum(bands - 1, 0))).astype(U)
+        of, mine = owner[chosen], shingles[chosen]
+        which = np.where(bands[of] == 0, place[chosen], (mine >> U(32)) * ranges[of] >> U(32))
+        starts = np.flatnonzero(np.append(True, (which[1:] != which[:-1]) | (of[1:] != of[:-1])))
+        of = of[starts]
+        yield mix(np.add.reduceat(hashed[chosen], starts) + FACTORS[2] * bands[of].astype(U)), of, most
+
+
+def chosen_signatures(
+    shingles: np.ndarray, sizes: np.ndarray, s: Settings, common: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(signatures, their sets, which are common): the first most + 1 of each set and band in the common order."""
+    for found, of, most in signatures(shingles, sizes, s):
+        late = np.zeros(len(found), bool)
+        if len(common):
+            late = common[np.minimum(np.searchsorted(common, found), len(common) - 1)] == found
+        starts = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+        kept = np.zeros(len(found), bool)
+        some_late = np.logical_or.reduceat(late, starts)
+        for a, b, mixed in zip(starts.tolist(), [*starts[1:].tolist(), len(found)], some_late.tolist(), strict=True):
+            k = int(most[of[a]]) + 1
+            if mixed:
+                order = np.lexsort((found[a:b], late[a:b]))
+                found[a:b], late[a:b] = found[a:b][order], late[a:b][order]
+            else:
+                found[a:b].sort()
+            kept[a : a + min(k, b - a)] = True
+        yield found[kept], of[kept], late[kept]
 
 
 FACT_FIELDS = [
@@ -165,12 +199,13 @@ def facts(docs: DataFrame, s: Settings) -> DataFrame:
 
     def work(batches):
         hashes = WordHashes()
-        held: dict[int, np.ndarray] = {}
+        held: list[np.ndarray] = []
+        met: set = set()
         size = 0
         names = schema.names
 
         def counted(ids_type):
-            values, seen = np.unique(np.concatenate(list(held.values())), return_counts=True)
+            values, seen = np.unique(np.concatenate(held), return_counts=True)
             values, seen = values[seen > 3].view(np.int64), seen[seen > 3]
             none = [pa.nulls(len(values), t) for t in (ids_type, pa.int64(), pa.int64(), pa.binary())]
             return pa.RecordBatch.from_arrays([*none, pa.array(values), pa.array(seen, pa.int64())], names)
@@ -178,26 +213,22 @@ def facts(docs: DataFrame, s: Settings) -> DataFrame:
         kind = None
         for batch in batches:
             ids, kind = batch.column(0), batch.column(0).type
-            sizes, keys, parity = [], [], []
-            for raw in batch.column(1).cast(pa.binary()).to_pylist():
-                shingles = shingle_set(raw, hashes, s.shingle)
-                sizes.append(len(shingles))
-                if not len(shingles):
-                    keys.append(None)
-                    parity.append(None)
-                    continue
-                key = set_key(shingles)
-                keys.append(key)
-                parity.append(parities(shingles))
-                if key not in held:
-                    held[key] = np.concatenate([x for x, _ in signatures(shingles, s)])
-                    size += len(held[key])
+            shingles, sizes = shingle_sets(batch.column(1).cast(pa.binary()).to_pylist(), hashes, s.shingle)
+            sets = parts_of(shingles, sizes)
+            keys = [set_key(x) if len(x) else None for x in sets]
+            fresh = np.array([k is not None and k not in met for k in keys])
+            met.update(keys)
             none = [pa.nulls(len(ids), pa.int64())] * 2
-            made = [pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(parity, pa.binary())]
+            parity = pa.array([parities(x) if len(x) else None for x in sets], pa.binary())
+            made = [pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), parity]
             yield pa.RecordBatch.from_arrays([ids, *made, *none], names)
+            for found, of, _ in signatures(shingles, sizes, s):
+                held.append(found[fresh[of]])
+                size += len(held[-1])
             if size > s.flush:
                 yield counted(kind)
                 held.clear()
+                met.clear()
                 size = 0
         if held:
             yield counted(kind)
@@ -220,21 +251,16 @@ def memberships(docs: DataFrame, common: np.ndarray, s: Settings) -> DataFrame:
     def emit(batches):
         hashes, done = WordHashes(), set()
         for batch in batches:
-            sigs, keys, flags = [], [], []
-            for raw in batch.column(0).cast(pa.binary()).to_pylist():
-                shingles = shingle_set(raw, hashes, s.shingle)
-                if not len(shingles) or (key := set_key(shingles)) in done:
-                    continue
-                done.add(key)
-                found, late = chosen_signatures(shingles, s, sent())
-                sigs.append(found)
-                flags.append(late)
-                keys.append(np.full(len(found), key, np.int64))
+            shingles, sizes = shingle_sets(batch.column(0).cast(pa.binary()).to_pylist(), hashes, s.shingle)
+            keys = np.array([set_key(x) if len(x) else 0 for x in parts_of(shingles, sizes)], np.int64)
+            fresh = np.array([size > 0 and k not in done for k, size in zip(keys.tolist(), sizes, strict=True)])
+            done.update(keys.tolist())
+            for found, of, late in chosen_signatures(shingles, sizes, s, sent()):
+                taken = fresh[of]
+                made = [found[taken].view(np.int64), keys[of[taken]], late[taken]]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in made], ["sig", "key", "common"])
             if len(done) > 1_000_000:
                 done.clear()
-            if sigs:
-                made = [np.concatenate(sigs).view(np.int64), np.concatenate(keys), np.concatenate(flags)]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in made], ["sig", "key", "common"])
 
     def shared(batches):
         """Rows come sorted: those whose signature belongs to two keys or more, once each."""
@@ -272,21 +298,19 @@ def memberships(docs: DataFrame, common: np.ndarray, s: Settings) -> DataFrame:
     return arrow_map(dealt, shared, "sig long, key long").distinct()
 
 
-def candidate_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
-    """(key, shingles) of the sets in ``wanted`` (``key``), each from one document that has it."""
-    one = rows.filter("sig IS NULL AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    ids = stage(one.join(wanted, "key", "left_semi").select("doc_id"))
+def candidate_sets(docs: DataFrame, names: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
+    """(key, shingles) of the sets in ``wanted`` (``key``), each from the document that ``names`` gives."""
+    ids = stage(names.join(wanted, "key", "left_semi").select("doc_id"))
 
     def work(batches):
         hashes = WordHashes()
         for batch in batches:
-            sets = [shingle_set(raw, hashes, s.shingle) for raw in batch.column(0).cast(pa.binary()).to_pylist()]
+            sets = parts_of(*shingle_sets(batch.column(0).cast(pa.binary()).to_pylist(), hashes, s.shingle))
             made = [pa.array([set_key(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())]
             yield pa.RecordBatch.from_arrays(made, ["key", "shingles"])
 
     texts = docs.select("doc_id", "text").filter("text IS NOT NULL").join(ids, "doc_id", "left_semi").select("text")
-    sets = arrow_map(texts, work, "key long, shingles binary")
-    return sets.dropDuplicates(["key"])
+    return arrow_map(texts, work, "key long, shingles binary")
 
 
 def pair_filter(pairs: DataFrame, values: DataFrame, column: str, test) -> DataFrame:
@@ -311,7 +335,8 @@ def links(docs: DataFrame, rows: DataFrame, s: Settings) -> DataFrame | None:
     wanted = stage(members.select("key").distinct())
     sketches = rows.filter("sig IS NULL AND key IS NOT NULL").select("key", F.struct("n_shingles", "parity").alias("sketch"))
     sketches = stage(sketches.join(wanted, "key", "left_semi").dropDuplicates(["key"]))
-    sets = None
+    names = rows.filter("sig IS NULL AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    names = stage(names.join(wanted, "key", "left_semi"))
 
     def near(x, y):
         both, least = x["n_shingles"] + y["n_shingles"], min(x["n_shingles"], y["n_shingles"])
@@ -352,8 +377,8 @@ def links(docs: DataFrame, rows: DataFrame, s: Settings) -> DataFrame | None:
         pairs = met.select(F.least("x", "key").alias("a"), F.greatest("x", "key").alias("b")).distinct()
         close = stage(pair_filter(stage(pairs), sketches, "sketch", near))
         if not close.isEmpty():
-            if sets is None:
-                sets = stage(candidate_sets(docs, rows, wanted, s))
+            both = close.select(F.col("a").alias("key")).union(close.select(F.col("b").alias("key"))).distinct()
+            sets = stage(candidate_sets(docs, names, stage(both), s))
             new = pair_filter(close, sets, "shingles", similar)
             found = stage(new if found is None else found.union(new))
             labels = stage(connected_components(found).withColumnsRenamed({"node": "key", "component": "label"}))
