@@ -121,8 +121,8 @@ def set_key(shingles: np.ndarray) -> int:
 
 
 def parities(shingles: np.ndarray) -> bytes:
-    """The parity of the number of shingles in each of 2^b hash ranges, about four per shingle."""
-    b = max(8, (4 * len(shingles) - 1).bit_length())
+    """The parity of the number of shingles in each of 2^b hash ranges, two to four per shingle."""
+    b = max(8, (2 * len(shingles) - 1).bit_length())
     return np.packbits(np.bincount((shingles >> U(64 - b)).astype(np.int64), minlength=1 << b) & 1).tobytes()
 
 
@@ -351,6 +351,7 @@ def links(docs: DataFrame, rows: DataFrame, s: Settings) -> DataFrame | None:
 
     found: DataFrame | None = None
     labels: DataFrame | None = None
+    tested: DataFrame | None = None
     for number in range(64):
         if labels is None:
             known = members.withColumn("label", F.col("key"))
@@ -370,12 +371,20 @@ def links(docs: DataFrame, rows: DataFrame, s: Settings) -> DataFrame | None:
         if groups.isEmpty():
             break
         active = stage(known.join(groups, "sig"))
-        share = F.pmod(F.xxhash64("key", "sig", F.lit(number)), F.lit(1 << 30)) / float(1 << 30)
-        lead = (F.col("label") != F.col("top")) & (share * F.col("outside") < 2.0 * 4**number)
-        leads = stage(active.filter(lead).select("sig", F.col("key").alias("x"), F.col("label").alias("xl")))
+        # First a few sets of each group, which joins most of them. Then a set leads in all groups at once that
+        # it is outside of, so that a pair is met in few rounds.
+        outside = active.filter(F.col("label") != F.col("top"))
+        of = ["key", "sig"] if number == 0 else ["key"]
+        place = F.pmod(F.xxhash64(*of), F.lit(1 << 30)) / float(1 << 30) * F.col("outside")
+        leading = outside.groupBy(*of).agg(F.max(place).alias("place")).filter(F.col("place") < 2.0 * 4**number)
+        leads = stage(
+            outside.join(stage(leading.select(*of)), of, "left_semi").select("sig", F.col("key").alias("x"), F.col("label").alias("xl"))
+        )
         met = leads.join(active.select("sig", "key", "label"), "sig").filter("xl <> label")
         pairs = met.select(F.least("x", "key").alias("a"), F.greatest("x", "key").alias("b")).distinct()
-        close = stage(pair_filter(stage(pairs), sketches, "sketch", near))
+        pairs = stage(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
+        tested = pairs if tested is None else tested.union(pairs)
+        close = stage(pair_filter(pairs, sketches, "sketch", near))
         if not close.isEmpty():
             both = close.select(F.col("a").alias("key")).union(close.select(F.col("b").alias("key"))).distinct()
             sets = stage(candidate_sets(docs, names, stage(both), s))
