@@ -309,12 +309,12 @@ def _alerts_of_repeats(threshold: int) -> str:
     """The same walk over events of which every third comes again; an event that has alerted is passed over."""
     return f"""
         WITH RECURSIVE {_needed('movements')},
-        both AS (
+        twice AS (
           SELECT event_id, transaction_id, customer_id, event_time, transaction_type, amount FROM movements
           UNION ALL
           SELECT event_id, transaction_id, customer_id, event_time + INTERVAL 1 HOUR, 'cash_out', amount * 2
           FROM movements WHERE event_id % 3 = 0),
-        rescored AS ({_CTES['scored'].replace('FROM movements', 'FROM both')}),
+        rescored AS ({_CTES['scored'].replace('FROM movements', 'FROM twice')}),
         numbered AS MATERIALIZED (
           SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY event_time, event_id, transaction_id, base) AS n
           FROM rescored WHERE base + 20 >= {threshold}),
@@ -505,13 +505,15 @@ ORACLE: dict[str, str] = {
                {_half_even('l_extendedprice::DECIMAL(18,2) * (1 - l_discount::DECIMAL(18,2))')} AS amount
         FROM lineitem""",
     "instalment_schedule": _query("""
-        SELECT loan_id, i::INTEGER AS instalment, (disbursement_date + (30 * i)::INTEGER)::DATE AS due_date,
+        SELECT loan_id, i::INTEGER AS instalment,
+               CASE WHEN i = n THEN due_date ELSE (disbursement_date + (30 * i)::INTEGER)::DATE END AS due_date,
                ((cents // n + CASE WHEN 2 * (cents % n) > n OR (2 * (cents % n) = n AND (cents // n) % 2 = 1) THEN 1 ELSE 0 END)
                  * 0.01::DECIMAL(18,2))::DECIMAL(18,2) AS amount_due
-        FROM (SELECT loan_id, disbursement_date, (loan_amount * 100)::BIGINT AS cents,
-                     least(greatest(term_months // 3, 1), 5) AS n FROM s_loans), unnest(range(1, n + 1)) AS t(i)"""),
+        FROM (SELECT loan_id, disbursement_date, due_date, (loan_amount * 100)::BIGINT AS cents,
+                     greatest(coalesce((due_date - disbursement_date) // 30, 1), 1) AS n FROM s_loans), unnest(range(1, n + 1)) AS t(i)"""),
     "loan_due_dates": _query("""
-        SELECT loan_id, disbursement_date, term_months, (disbursement_date + (30 * term_months)::INTEGER)::DATE AS due_date
+        SELECT loan_id, disbursement_date, term_months,
+               coalesce(due_date, (disbursement_date + (30 * term_months)::INTEGER)::DATE) AS due_date
         FROM s_loans"""),
 }
 
