@@ -125,18 +125,21 @@ def link_quotes(messages: DataFrame) -> DataFrame:
 def roots(links: DataFrame) -> DataFrame:
     """(conv_id, turn, root_turn, depth) of every message that answers another, by pointer doubling.
 
-    A parent has a smaller turn than its child, so there are no cycles.
+    A parent has a smaller turn than its child, so there are no cycles. Messages
+    that have reached their root are only looked up from then on.
     """
-    jumps = stage(links.select("conv_id", "turn", F.col("parent_turn").alias("up"), F.lit(1).alias("steps")))
+    table = stage(
+        links.select("conv_id", "turn", F.col("parent_turn").alias("up"), F.lit(1).alias("steps"), F.lit(False).alias("done"))
+    )
     while True:
-        above = jumps.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("next"), F.col("steps").alias("more"))
-        moved = jumps.join(above, ["conv_id", "up"], "left")
-        done = stage(
-            moved.select(
-                "conv_id", "turn", F.coalesce("next", "up").alias("up"),
-                (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"), F.col("next").isNotNull().alias("moved"),
-            )
+        above = table.select(
+            "conv_id", F.col("turn").alias("up"), F.col("up").alias("next"), F.col("steps").alias("more"), F.col("done").alias("last")
+        )
+        moved = table.filter("NOT done").join(above, ["conv_id", "up"], "left")
+        moved = moved.select(
+            "conv_id", "turn", F.coalesce("next", "up").alias("up"),
+            (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"), F.coalesce("last", F.lit(True)).alias("done"),
         )
-        jumps = done.drop("moved")
-        if done.filter("moved").isEmpty():
-            return jumps.select("conv_id", "turn", F.col("up").alias("root_turn"), F.col("steps").alias("depth"))
+        table = stage(moved.union(table.filter("done")))
+        if table.filter("NOT done").isEmpty():
+            return table.select("conv_id", "turn", F.col("up").alias("root_turn"), F.col("steps").alias("depth"))
