@@ -2,6 +2,7 @@ import datetime as dt
 import gzip
 import random
 import struct
+import zlib
 
 import pytest
 from brute import awkward, docs, quoted
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from creditlake.llm.mixing import Mix, cells_of, rake, sampled_documents, topic_of, with_copies
 from creditlake.llm.quotes import link_quotes
 from creditlake.llm.sitetree import Limits, extract_main_text, main_text, style_tree
-from creditlake.llm.toxicity import Settings, fit, held_out, remove_toxic, toxicity_scores
+from creditlake.llm.toxicity import Settings, fit, held_out, remove_toxic, toxicity_scores, with_score
 from creditlake.llm.urls import intervals, temporal_list_join
 from creditlake.llm.warc import archive_round_trip, read_warc, write_pages
 
@@ -223,3 +224,19 @@ def test_toxicity_ignores_held_out_labels_and_missing_classes(spark):
     model = fit(table, known.filter("toxic = 0"), Settings())
     assert not model.units and 0 < model.score(0.0) < 0.1
     assert toxicity_scores(docs(spark, []), known).count() == 0
+
+
+def test_toxicity_model_holds_rare_words_and_all_pairs(spark):
+    rows, labels = toxic_corpus(400)
+    learned = [i for i, _, bad in labels if bad and zlib.crc32(str(i).encode()) % 3 != 1][:3]
+    rows = [(i, f"{text} skulk" if i in learned else text) for i, text in rows]
+    known = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    model = fit(docs(spark, rows), known)
+    texts = [text.split() for i, text in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert {r["w"] for r in model.units.filter("NOT endswith(w, '*')").collect()} == {w for t in texts for w in t}
+    assert model.pairs.count() == len({p for t in texts for p in zip(["", *t], t)})
+    plain = "w1 w2 w3 w4 w5 w6"
+    asked = docs(spark, [(9000, f"{plain} qq"), (9001, f"{plain} skulk"), (9002, f"{plain} qq"), (9003, f"{plain} skulkish")])
+    found, name = with_score(asked, model)
+    score = {r["doc_id"]: r[name] for r in found.collect()}
+    assert score[9001] > score[9000] == score[9002] < score[9003]
