@@ -1,17 +1,19 @@
 """Personal data: base patterns, and identifiers found by bootstrapped context patterns.
 
 Base spans (e-mail, IP, card, phone) are found by regular expressions and checks.
-They are the seeds of a bootstrap: the words around a seed, with the shape of the
-seed itself, are a lexical pattern, and the text of the seed is an instance. The
-same patterns are taken around every other word with digits. Spark then scores
-the bipartite graph of patterns and instances in rounds:
+They are the seeds of a bootstrap: the words around a seed, and whether it has
+digits, are a lexical pattern, and the text of the seed is an instance. The same
+patterns are taken around every other word with digits and every run of such
+words, whatever their length and shape. Spark then scores the bipartite graph of
+patterns and instances in rounds:
 
 * a pattern's score is the mean score of its different instances, smoothed;
 * an instance's score is 1 for seeds, else the noisy-or of its patterns that
   score enough and have enough known instances.
 
 Instances that score at least ``accept`` are new spans of kind ``ctx`` wherever one
-of their patterns surrounds them. Base spans always stay.
+of their patterns that score enough surrounds them; those with ``least_digits``
+tell themselves and are spans everywhere. Base spans always stay.
 
 All of it is Column expressions and joins. Positions are code points, ends exclusive.
 """
@@ -38,6 +40,9 @@ PATTERNS = (
 BYTE = "0*(?:[0-9]|[1-9][0-9]|1[0-9][0-9]|2[0-4][0-9]|25[0-5])"
 IP_IN_RANGE = rf"^{BYTE}\.{BYTE}\.{BYTE}\.{BYTE}$"
 NUMBER_WORD = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
+NUMBER_WORDS = rf"{NUMBER_WORD}(?:\s++[^\s0-9]*+[0-9]\S*+)++"
+# What is cut off around a candidate; a plus sign before a digit belongs to it.
+LEAD = r"^(?:(?!\+[0-9])[\p{P}\p{S}])+"
 KIND_NAMES = ("email", "ip", "card", "phone", "ctx")
 CONTEXT = 5  # the number of ctx in the order of kinds, from 1
 
@@ -49,7 +54,7 @@ class Bootstrap:
     pattern_score: float = 0.5
     accept: float = 0.8
     context_chars: int = 48
-    least_digits: int = 4
+    least_digits: int = 4  # of an instance, to be known without its context
 
 
 def luhn(digits: Column) -> Column:
@@ -124,12 +129,6 @@ def checked(spans: Column, check: Callable[[Column], Column]) -> Column:
     return F.filter(spans, lambda s: check(s["found"]))
 
 
-def shape(token: Column) -> Column:
-    """Digits as 9, runs of letters as a, runs of both as w, anything else as it is."""
-    plain = F.regexp_replace(F.regexp_replace(token, r"\p{L}+", "a"), "[0-9]", "9")
-    return F.regexp_replace(plain, "[a9]*(?:a9|9a)[a9]*", "w")
-
-
 def contexts(text: Column, start: Column, end: Column, token: Column, chars: int) -> Column:
     """The lexical patterns around a span: two words before, one word before with one after."""
     left_from = F.greatest(F.lit(0), start - chars)
@@ -138,7 +137,7 @@ def contexts(text: Column, start: Column, end: Column, token: Column, chars: int
     one = F.regexp_extract(left, r"(\S+)\s*$", 1)
     two = F.regexp_extract(left, r"(\S+\s+\S+)\s*$", 1)
     after = F.regexp_extract(right, r"^\S*\s+(\S+)", 1)
-    kind = shape(token)
+    kind = F.when(token.rlike("[0-9]"), "9").otherwise("a")
     made = F.array(
         F.when(two != "", F.concat_ws(" ", F.lit("LL"), two, kind)),
         F.when((one != "") & (after != ""), F.concat_ws(" ", F.lit("LR"), one, kind, after)),
@@ -152,22 +151,18 @@ def span_table(docs: DataFrame, settings: Bootstrap) -> DataFrame:
     df = with_base_spans(df, "text")
     df = df.withColumn("base", F.array_sort(F.concat(*[F.col(f"_{kind}") for kind, _ in PATTERNS])))
     df = with_matches(df, "text", NUMBER_WORD, F.col("text").rlike("[0-9]"), CONTEXT, "_words")
-    edges = r"^[\p{P}\p{S}]+|[\p{P}\p{S}]+$"
+    df = with_matches(df, "text", NUMBER_WORDS, F.size("_words") > 1, CONTEXT, "_runs")
 
     def trimmed(s):
-        lead = F.length(F.regexp_extract(s["found"], r"^[\p{P}\p{S}]*", 0))
-        core = F.regexp_replace(s["found"], edges, "")
+        lead = F.length(F.regexp_extract(s["found"], LEAD, 0))
+        core = F.regexp_replace(s["found"], rf"{LEAD}|[\p{{P}}\p{{S}}]+$", "")
         start = s["start"] + lead
         return F.struct(
             start.alias("start"), F.lit(CONTEXT).alias("kind"), (start + F.length(core)).alias("end"), core.alias("found")
         )
 
-    digits = lambda s: F.length(F.regexp_replace(s["found"], "[^0-9]", ""))
     free = lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    df = df.withColumn(
-        "words",
-        F.filter(F.transform("_words", trimmed), lambda s: (digits(s) >= settings.least_digits) & free(s)),
-    )
+    df = df.withColumn("words", F.filter(F.transform(F.concat("_words", "_runs"), trimmed), free))
 
     def node(s):
         around = contexts(F.col("text"), s["start"], s["end"], s["found"], settings.context_chars)
@@ -187,7 +182,7 @@ def span_table(docs: DataFrame, settings: Bootstrap) -> DataFrame:
 
 
 def accepted_instances(spans: DataFrame, settings: Bootstrap) -> DataFrame:
-    """(instance) of the candidates that the bootstrap takes for identifiers."""
+    """(instance, pattern) of the candidates that the bootstrap takes for identifiers, with their strong patterns."""
 
     def edges(column: str, seed: bool) -> DataFrame:
         nodes = spans.filter(F.size(column) > 0).select(F.explode(column).alias("n"))
@@ -211,16 +206,19 @@ def accepted_instances(spans: DataFrame, settings: Bootstrap) -> DataFrame:
         )
         seeds = graph.filter("seed").select("instance", F.lit(1.0).alias("score"))
         scores = stage(raised.union(seeds).groupBy("instance").agg(F.max("score").alias("score")))
-    return scores.filter(F.col("score") >= settings.accept).select("instance").join(
-        graph.filter("NOT seed").select("instance").distinct(), "instance"
-    )
+    accepted = scores.filter(F.col("score") >= settings.accept).select("instance")
+    return graph.filter("NOT seed").select("instance", "pattern").join(accepted, "instance").join(strong.select("pattern"), "pattern")
 
 
 def context_spans(spans: DataFrame, settings: Bootstrap) -> DataFrame:
     """(row_a, row_b, more) with the new spans of each row that has some."""
     found = spans.filter(F.size("candidates") > 0).select("row_a", "row_b", F.explode("candidates").alias("n"))
-    found = found.select("row_a", "row_b", "n.start", "n.end", "n.instance").distinct()
-    new = found.join(stage(accepted_instances(spans, settings)), "instance")
+    found = found.select("row_a", "row_b", "n.start", "n.end", "n.instance", "n.patterns")
+    accepted = stage(accepted_instances(spans, settings))
+    telling = F.length(F.regexp_replace("instance", "[^0-9]", "")) >= settings.least_digits
+    short = found.filter(~telling).withColumn("pattern", F.explode("patterns")).join(accepted, ["instance", "pattern"])
+    long = found.filter(telling).join(accepted.select("instance").distinct(), "instance")
+    new = short.drop("patterns", "pattern").unionByName(long.drop("patterns"))
     span = F.struct("start", F.lit(CONTEXT).alias("kind"), "end")
     return new.groupBy("row_a", "row_b").agg(F.sort_array(F.collect_set(span)).alias("more"))
 

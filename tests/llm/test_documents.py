@@ -147,3 +147,17 @@ def test_bootstrap_finds_identifiers_by_their_context(spark):
     clean = {r["doc_id"]: (r["text"], r["n_chars"]) for r in redact(docs(spark, [*rows, (13, None)])).collect()}
     assert clean[10][0] == "please pay with card number [CTX] before noon" and clean[10][1] == len(clean[10][0])
     assert clean[0][0] == "please pay with card number [CARD] before noon" and clean[12][0] == rows[-1][1] and clean[13] == (None, None)
+
+
+def test_contexts_find_identifiers_of_other_shapes(spark):
+    texts = [(i, f"please call me at +1 415 555 01{i:02d} after lunch today") for i in range(10)]
+    texts += [(100 + i, f"the account holder is a{i}@b.com since last year") for i in range(10)]
+    new = {200: "020 7946 0018", 201: "+4475", 202: "7946-01", 203: "77", 204: "020 7946 0018"}
+    texts += [(i, f"please call me at {x} after lunch today") for i, x in new.items()]
+    texts += [(300, "there were 77 of them and 020 7946 0018 more")]
+    found = {r["doc_id"]: r for r in personal_data(docs(spark, texts)).collect()}
+    assert all(found[i]["n_phone"] == 1 and found[i]["n_context"] == 0 for i in range(10))
+    start = len("please call me at ")
+    for i, x in new.items():
+        assert f"ctx:{start}:{start + len(x)}" in found[i]["spans"].split(",")
+    assert found[300]["spans"] == "ctx:26:39"  # 77 alone tells nothing
