@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import arrow_map, table
 from .mixing import MARGINS, PROSE, TOPICS, Mix, with_copies
 from .compression import compression_bands
 from .decontamination import decontamination_report
 from .jaccard import jaccard_components
 from .pii import personal_data
 from .quotes import link_quotes
+from .runs import run_report
 from .sitetree import extract_main_text, host_of
 from .toxicity import toxicity_scores
 from .urls import temporal_list_join
@@ -112,6 +114,39 @@ def op10_kneser_ney_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def repeated_tails(docs: DataFrame) -> DataFrame:
+    """``docs`` (``doc_id``, ``text``), every tenth with its words from some place on repeated with some period.
+
+    With h the CRC-32 of the id and g = h div 10, a text with h mod 10 = 0 goes on
+    from word a = g mod n with period 1 + (n - a) div (3 + g mod 8).
+    """
+    rows = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("hash"))
+    made = rows.select("doc_id", "text")
+
+    def tail(text: str | None, mark: int | None) -> str | None:
+        if text is None or mark is None or mark % 10:
+            return text
+        words, g = text.encode().split(), mark // 10
+        if not words:
+            return text
+        a = g % len(words)
+        period = 1 + (len(words) - a) // (3 + g % 8)
+        part = words[a : a + period]
+        times = (len(words) - a) // period + 1
+        return b" ".join(words[:a] + (part * times)[: len(words) - a]).decode()
+
+    def work(batches):
+        for batch in batches:
+            texts = [tail(t, h) for t, h in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
+
+    return arrow_map(rows, work, made.schema)
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return run_report(repeated_tails(table(spark, folder, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quotation_linking": op1_quotation_linking,
     "op2_compression_bands": op2_compression_bands,
@@ -123,6 +158,7 @@ QUERIES: dict[str, Query] = {
     "op8_temporal_list_join": op8_temporal_list_join,
     "op9_site_style_tree": op9_site_style_tree,
     "op10_kneser_ney_toxicity": op10_kneser_ney_toxicity,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 
