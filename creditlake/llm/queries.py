@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .common import arrow_map, table
 from .mixing import MARGINS, PROSE, TOPICS, Mix, with_copies
+from .cells import near_copies
 from .compression import compression_bands
 from .decontamination import decontamination_report
 from .jaccard import jaccard_components
@@ -114,6 +115,10 @@ def op10_kneser_ney_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op12_spherical_cells(spark: SparkSession, folder: str) -> DataFrame:
+    return near_copies(table(spark, folder, "embeddings"))
+
+
 def repeated_tails(docs: DataFrame) -> DataFrame:
     """``docs`` (``doc_id``, ``text``), every tenth with its words from some place on repeated with some period.
 
@@ -158,6 +163,7 @@ QUERIES: dict[str, Query] = {
     "op8_temporal_list_join": op8_temporal_list_join,
     "op9_site_style_tree": op9_site_style_tree,
     "op10_kneser_ney_toxicity": op10_kneser_ney_toxicity,
+    "op12_spherical_cells": op12_spherical_cells,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
