@@ -14,6 +14,7 @@ from .cells import near_copies
 from .compression import compression_bands
 from .decontamination import decontamination_report
 from .jaccard import jaccard_components
+from .lexical import search
 from .pii import personal_data
 from .quotes import link_quotes
 from .runs import run_report
@@ -115,6 +116,10 @@ def op10_kneser_ney_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_pipelined_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op12_spherical_cells(spark: SparkSession, folder: str) -> DataFrame:
     return near_copies(table(spark, folder, "embeddings"))
 
@@ -163,6 +168,7 @@ QUERIES: dict[str, Query] = {
     "op8_temporal_list_join": op8_temporal_list_join,
     "op9_site_style_tree": op9_site_style_tree,
     "op10_kneser_ney_toxicity": op10_kneser_ney_toxicity,
+    "op11_pipelined_search": op11_pipelined_search,
     "op12_spherical_cells": op12_spherical_cells,
     "op13_periodic_runs": op13_periodic_runs,
 }
@@ -177,7 +183,7 @@ def raking_sql(rounds: int = 40) -> str:
         f"""d AS (
             SELECT doc_id, source, lang, coalesce('=' || source, '-') AS k_source, coalesce('=' || lang, '-') AS k_lang,
                    CASE {cases} ELSE '={PROSE}' END AS k_topic,
-                   coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS tokens
+                   coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS tokens
             FROM documents
         )""",
         "c AS (SELECT k_source, k_lang, k_topic, sum(tokens)::DOUBLE AS tokens FROM d GROUP BY ALL HAVING sum(tokens) > 0)",
@@ -284,6 +290,29 @@ ORACLE: dict[str, str] = {
                CAST(valid_from AS DATE) AS entry_from, CAST(valid_to AS DATE) AS entry_to, list IS NOT NULL AS blocked
         FROM p LEFT JOIN best USING (url, fetch_date)
     """,
+    "op11_pipelined_search": r"""
+        WITH t AS (
+            SELECT rowid AS doc, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM (SELECT row_number() OVER () AS rowid, doc_id, text FROM documents)
+        ), p AS MATERIALIZED (SELECT doc, doc_id, term, count(*) AS tf FROM t GROUP BY ALL
+        ), d AS MATERIALIZED (SELECT doc, sum(tf)::BIGINT AS n FROM p GROUP BY doc
+        ), a AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM d
+        ), w AS (
+            SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p, a GROUP BY term, docs
+        ), q AS (
+            SELECT DISTINCT item, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM (SELECT row_number() OVER () AS item, item_id, text FROM benchmark)
+        ), s AS (
+            SELECT item, item_id, doc, p.doc_id,
+                   sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // words))))::BIGINT AS score
+            FROM q JOIN p USING (term) JOIN w USING (term) JOIN d USING (doc), a GROUP BY ALL
+        ), r AS (
+            SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS FIRST) AS rank, doc_id, score FROM s WHERE score > 0
+        )
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 10
+    """,
     "op6_warc_round_trip": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS html,
