@@ -51,12 +51,12 @@ def alert_id(event_id: Column | str) -> Column:
     return F.concat(F.lit("STREAM-"), F.col(event_id) if isinstance(event_id, str) else event_id)
 
 
-def candidates(events: DataFrame, threshold: int) -> DataFrame:
-    """Transactions that could alert at all, with the earlier alerts they need."""
+def scored_events(events: DataFrame, threshold: int, *keep: Column | str) -> DataFrame:
+    """Events with their unaided score, the earlier alerts they need, and whether they could alert at all."""
     amount = parse_decimal("amount")
     base = unaided_score(amount, "transaction_type")
     need = F.greatest(F.lit(0), F.ceil((F.lit(threshold) - base) / POINTS_PER_ALERT)).cast("int")
-    scored = events.select(
+    return events.select(
         "event_id",
         "event_time",
         "transaction_id",
@@ -64,9 +64,14 @@ def candidates(events: DataFrame, threshold: int) -> DataFrame:
         alert_rule(amount, "transaction_type").alias("rule_name"),
         base.alias("_base"),
         need.alias("_need"),
+        (F.lit(threshold <= MAX_SCORE) & (need <= MAX_STATE)).alias("possible"),
+        *keep,
     )
-    possible = F.lit(threshold <= MAX_SCORE) & (F.col("_need") <= MAX_STATE)
-    return scored.filter(possible)
+
+
+def candidates(events: DataFrame, threshold: int) -> DataFrame:
+    """Transactions that could alert at all, with the earlier alerts they need."""
+    return scored_events(events, threshold).filter("possible").drop("possible")
 
 
 def _with_turning_points(rows: DataFrame) -> DataFrame:

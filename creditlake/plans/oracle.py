@@ -305,6 +305,17 @@ def _alerts(threshold: int, skip: str = _UNKNOWN_CUSTOMER) -> str:
         FROM walk WHERE fired"""
 
 
+def _stream_log() -> str:
+    """Events of known customers and their alerts, in two periods."""
+    second = "(event_time >= TIMESTAMP '2024-01-16')"
+    return f"""
+        WITH {_needed('scored ' + _UNKNOWN_CUSTOMER)},
+        e AS (SELECT transaction_id, 1 + {second}::INTEGER AS run FROM scored WHERE NOT ({_UNKNOWN_CUSTOMER})),
+        a AS ({_alerts(75)})
+        SELECT run, count(*) AS events_processed, count(a.transaction_id) AS alerts_emitted, 75 AS threshold
+        FROM e LEFT JOIN a USING (transaction_id) GROUP BY run"""
+
+
 def _alerts_of_repeats(threshold: int) -> str:
     """The same walk over events of which every third comes again; an event that has alerted is passed over."""
     return f"""
@@ -486,6 +497,7 @@ ORACLE: dict[str, str] = {
     "alerts_incremental": _alerts(60, "base >= 80"),
     "alerts_repeated_events": _alerts_of_repeats(60),
     "alerts_stream": _alerts(75),
+    "alerts_stream_log": _stream_log(),
     "quality_row_counts": _query(_row_counts()),
     "csv_run_counts": _query(_row_counts()),
     "quality_issues": _query(_issues()),

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalars import (
@@ -35,7 +37,8 @@ from ..operators.skew import lookup_join, shared_folder, stage
 from ..sources.io import fact_by_year, with_metadata, write_csv
 from ..sources.schemas import GOLD, SOURCE_COLUMNS, conform
 from ..sources.tpch import LINE_ORDER, TpchExtracts, line_amount
-from ..streaming.alerts import read_alerts, start_alerts
+from ..streaming.alerts import end_period, read_alerts, read_events, read_log, start_alerts, write_events
+from ..streaming.log import runs
 from .gold import GoldPlan, loan_balances, loan_rollup, loan_status_names, total_by
 from .pipeline import PipelineResult, run_pipeline
 from .silver import RULES, SILVER_ORDER, SilverPlan, latest_version, merge_increment
@@ -253,16 +256,38 @@ def alerts_repeated_events(spark: SparkSession, folder: str) -> DataFrame:
     return score_alerts(repeated_events(spark, folder), 60).select(*_ALERT_OUT)
 
 
-def alerts_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The streaming job over the events as a folder of four files, a micro-batch each, then its alerts."""
+# The events are streamed as two periods, the second of which starts here.
+SECOND_PERIOD = datetime(2024, 1, 16, tzinfo=timezone.utc)
+
+
+def _streamed_alerts(spark: SparkSession, folder: str) -> str:
+    """The streaming job over the events as JSON lines, one run per period; the folder of its output.
+
+    Each period is four files, written by as many tasks in whatever order these
+    end, and read two at a time.
+    """
     extracts = TpchExtracts(spark, folder)
     work = f"{shared_folder(spark)}/alerts-{uuid.uuid4().hex}"
-    known = stage(_of_known_customers(extracts.stream_events(), extracts))
-    parts = known.repartitionByRange(4, "event_time").sortWithinPartitions("event_time", "event_id")
-    parts.write.parquet(f"{work}/in")
-    events = spark.readStream.schema(known.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/in")
-    start_alerts(events, f"{work}/out", f"{work}/progress").awaitTermination()
-    return read_alerts(spark, f"{work}/out").select(*_ALERT_OUT)
+    known = stage(_of_known_customers(extracts.stream_events(), extracts)).withColumn("event_time", F.col("event_time").cast("timestamp"))
+    second = F.col("event_time") >= F.lit(SECOND_PERIOD)
+    for period, until in ((~second, SECOND_PERIOD), (second, datetime(2100, 1, 1, tzinfo=timezone.utc))):
+        write_events(known.filter(period).repartitionByRange(4, "event_time"), f"{work}/in")
+        end_period(spark, f"{work}/in", until, "31 days")
+        events = read_events(spark, f"{work}/in", files_per_batch=2)
+        start_alerts(events, f"{work}/out", f"{work}/progress", delay="31 days", partitions=4).awaitTermination()
+    return f"{work}/out"
+
+
+def alerts_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The alerts of the streaming job."""
+    return read_alerts(spark, _streamed_alerts(spark, folder)).select(*_ALERT_OUT)
+
+
+def alerts_stream_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The log of the streaming job: events, alerts and threshold of its two runs."""
+    lines = runs(read_log(spark, _streamed_alerts(spark, folder)))
+    run = F.row_number().over(W.orderBy("first_batch"))  # a row per run
+    return lines.select(run.alias("run"), "events_processed", "alerts_emitted", "threshold")
 
 
 def _checked_counts(silver: SilverPlan) -> DataFrame:
@@ -374,6 +399,7 @@ QUERIES: dict[str, Query] = {
     "alerts_incremental": alerts_incremental,
     "alerts_repeated_events": alerts_repeated_events,
     "alerts_stream": alerts_stream,
+    "alerts_stream_log": alerts_stream_log,
     "quality_row_counts": quality_row_counts,
     "quality_issues": quality_issues_query,
     "quality_status": quality_status_query,

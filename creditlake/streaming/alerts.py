@@ -1,40 +1,46 @@
 """Transaction alerts as a Structured Streaming job.
 
-Every micro-batch goes through the batch operator with the state left by the
-earlier ones, so the stream gives the same alerts as one batch over the same
-events as long as each customer's events arrive in order, and a hot customer is
-handled as in the batch.
-
-Output is one sub-folder per micro-batch; a batch that is run again after a
-failure overwrites its own, so every alert appears exactly once.
-
-* ``alerts/batch=N``  alerts raised by batch N
-* ``log/batch=N``     events processed, alerts emitted, threshold; written last
-* ``state/slot=S``    what batch N (S = N mod 3) leaves to the next one, see below
-
-The state is a snapshot: per customer the number of alerts, up to the four that
-matter, and the ids of alerts whose event is at most ``remember`` older than the
-newest one. A batch reads the snapshot of the batch before and writes its own, so
-it costs the same however long the stream has run. An event that is delivered
-again later than that may alert again.
+Events are scored per customer in the order of their event time, by state that
+Spark keeps (:mod:`.state`): RocksDB on the executors, its changes in the
+checkpoint. A micro-batch touches the customers that it has events or due timers
+for, and no others. Events may arrive in any order within ``delay``, the watermark;
+alerts come out when the watermark passes their event. Only transactions that can
+alert at all are shuffled.
+
+* ``alerts``  the file sink; its own log makes every alert appear exactly once,
+  also after a restart or a batch that runs again
+* ``log``     a line per micro-batch with its events and alerts (:mod:`.log`)
+
+The stream gives the alerts of the batch operator over the same events, with two
+differences. An event later than the watermark is scored when it comes. An event
+id belongs to one customer; under two it may alert once for each.
 """
 
 from __future__ import annotations
 
+import uuid
+from datetime import datetime
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.scalars import now
-from ..operators.alerts import MAX_STATE, THRESHOLD, alert_id, score_alerts
-from ..operators.skew import stage
+from ..functions.scalars import MAX_SCORE, POINTS_PER_ALERT, now
+from ..operators.alerts import MAX_STATE, THRESHOLD, scored_events
 from ..sources.schemas import STREAM_ALERT, STREAM_EVENT
+from .log import ARRIVED, RAISED, RunLog
+from .log import read_log as read_log_lines
+from .state import ALERT, AlertState
+
+DELAY = "1 hour"
+# The transaction type of a line that only moves the watermark.
+MARK = "end_of_period"
 
-# The kinds of state rows: a customer's count, and an alert that was raised.
-STATE = "customer_id string, alerts int, alert_id string, event_time timestamp, batch bigint"
-SLOTS = 3
-REMEMBER = "30 days"
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def read_events(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
@@ -47,56 +53,71 @@ def read_events(spark: SparkSession, folder: str, files_per_batch: int = 1000) -
     )
 
 
-def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error.getCondition()):
-            raise
-        return spark.createDataFrame([], schema)
+def write_events(events: DataFrame, folder: str) -> None:
+    """Append events to ``folder`` as JSON lines, one file per partition, times to the microsecond."""
+    events.write.mode("append").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(folder)
 
 
-def snapshot(spark: SparkSession, target: str, batch: int) -> DataFrame:
-    """The state that batch ``batch`` has left."""
-    if batch < 0:
-        return spark.createDataFrame([], STATE)
-    rows = _stored(spark, f"{target}/state/slot={batch % SLOTS}", STATE)
-    return rows.filter(F.col("batch") == batch)
+def end_period(spark: SparkSession, folder: str, until: datetime, delay: str = DELAY) -> None:
+    """Tell a stream over ``folder`` that all events before ``until`` have arrived.
 
+    Adds a file with one line whose time is ``delay`` after ``until``, so that the
+    watermark reaches ``until`` and what waits for it comes out.
+    """
+    moment = F.lit(until).cast("timestamp") + F.expr(f"INTERVAL {delay}")
+    line = spark.range(1).select(F.lit(MARK).alias("transaction_type"), moment.alias("event_time"))
+    write_events(line.coalesce(1), folder)
 
-def process_batch(
-    events: DataFrame, batch: int, target: str, threshold: int = THRESHOLD, remember: str = REMEMBER
-) -> None:
-    spark = events.sparkSession
-    events = stage(events)
-    before = snapshot(spark, target, batch - 1)
-    known = before.filter("alert_id IS NOT NULL")
-    prior = before.filter("alert_id IS NULL").select("customer_id", "alerts")
-    path = f"{target}/alerts/batch={batch}"
-    score_alerts(events, threshold, known, prior).write.mode("overwrite").parquet(path)
-
-    alerts = spark.read.schema(STREAM_ALERT).parquet(path)
-    raised = alerts.groupBy("customer_id").agg(F.count(F.lit(1)).cast("int").alias("alerts"))
-    counts = prior.unionByName(raised).groupBy("customer_id").agg(
-        F.least(F.sum("alerts"), F.lit(MAX_STATE)).cast("int").alias("alerts")
-    )
-    moments = events.groupBy(alert_id("event_id").alias("alert_id")).agg(F.max("event_time").alias("event_time"))
-    new = alerts.select("alert_id").join(moments, "alert_id")
-    ids = known.select("alert_id", "event_time").unionByName(new)
-    newest = ids.agg(F.max("event_time").alias("newest"))
-    recent = ids.join(F.broadcast(newest), F.expr(f"event_time >= newest - INTERVAL {remember}"))
-    none = F.lit(None)
-    state = counts.select("customer_id", "alerts", none.cast("string").alias("alert_id"), none.cast("timestamp").alias("event_time"))
-    state = state.unionByName(
-        recent.select(none.cast("string").alias("customer_id"), none.cast("int").alias("alerts"), "alert_id", "event_time")
+
+def _is_mark() -> Column:
+    return (F.col("transaction_type") == MARK) & F.col("event_id").isNull()
+
+
+def alert_rows(events: DataFrame, threshold: int = THRESHOLD, delay: str = DELAY, known: DataFrame | None = None) -> DataFrame:
+    """The alerts of a stream of events. ``known`` (customer_id, event_id) have alerted before it began."""
+    mark = F.coalesce(_is_mark(), F.lit(False))
+    counted = events.observe(ARRIVED, F.count_if(~mark).alias("events"))
+    scored = scored_events(counted.withColumn("_seen", F.col("event_time")).withWatermark("_seen", delay), threshold, "_seen", mark.alias("is_mark"))
+    # Naming the event time keeps the filter above the watermark, which all events move.
+    never = F.col("_seen") < F.lit("0001-01-01").cast("timestamp")
+    wanted = scored.filter(F.col("is_mark") | F.col("possible") | F.coalesce(never, F.lit(False)))
+    rows = wanted.select(
+        "customer_id",
+        F.unix_micros(F.col("event_time").cast("timestamp")).alias("at"),
+        "event_id",
+        "transaction_id",
+        F.col("_base").alias("base"),
+        F.col("_need").alias("need"),
+        "rule_name",
+        "is_mark",
     )
-    state.withColumn("batch", F.lit(batch).cast("bigint")).write.mode("overwrite").parquet(
-        f"{target}/state/slot={batch % SLOTS}"
+    before = None
+    if known is not None:
+        before = known.select(F.coalesce("customer_id", F.lit("")).alias("customer_id"), "event_id").groupBy("customer_id")
+    state = AlertState(POINTS_PER_ALERT, MAX_STATE, MAX_SCORE)
+    alerts = rows.groupBy("customer_id").transformWithState(state, ALERT, "Append", "EventTime", before)
+    return alerts.observe(RAISED, F.count(F.lit(1)).alias("alerts")).select(
+        "alert_id", "transaction_id", "customer_id", now().alias("alert_time"), "rule_name", "risk_score", "alert_status"
     )
-    arrived = events.agg(F.count(F.lit(1)).alias("events_processed"))
-    alerts.agg(F.count(F.lit(1)).alias("alerts_emitted")).crossJoin(F.broadcast(arrived)).select(
-        "alerts_emitted", now().alias("event_time"), "events_processed", F.lit(threshold).alias("threshold")
-    ).write.mode("overwrite").json(f"{target}/log/batch={batch}")
+
+
+class AlertJob:
+    """A running alert stream and its log."""
+
+    def __init__(self, spark: SparkSession, query: StreamingQuery, log: RunLog):
+        self.query, self._spark, self._log = query, spark, log
+
+    def awaitTermination(self) -> None:
+        """Wait for the end of the query, and for the log of its last batch."""
+        try:
+            self.query.awaitTermination()
+        finally:
+            self._log.wait(60)
+            self._spark.streams.removeListener(self._log)
+
+    def stop(self) -> None:
+        self.query.stop()
+        self.awaitTermination()
 
 
 def start_alerts(
@@ -105,37 +126,59 @@ def start_alerts(
     checkpoint: str,
     threshold: int = THRESHOLD,
     trigger: dict | None = None,
-) -> StreamingQuery:
-    """Start the job. Without a ``trigger`` it handles what is there and stops."""
-
-    def handle(batch_rows: DataFrame, batch: int) -> None:
-        process_batch(batch_rows, batch, target, threshold)
-
-    return (
-        events.writeStream.foreachBatch(handle)
+    delay: str = DELAY,
+    known: DataFrame | None = None,
+    partitions: int | None = None,
+) -> AlertJob:
+    """Start the job. Without a ``trigger`` it handles what is there and stops.
+
+    ``partitions`` of the state are fixed at the first start of a checkpoint;
+    without it they are the shuffle partitions of the session.
+    """
+    spark = events.sparkSession
+    name = f"alerts-{uuid.uuid4().hex}"
+    log = RunLog(spark, name, f"{target}/log", threshold)
+    settings = dict(STATE_STORE)
+    if partitions:
+        settings["spark.sql.shuffle.partitions"] = str(partitions)
+    before = {key: spark.conf.get(key, None) for key in settings}
+    writer = (
+        alert_rows(events, threshold, delay, known)
+        .writeStream.queryName(name)
+        .format("json")
+        .outputMode("append")
+        .option("path", f"{target}/alerts")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
-        .start()
     )
+    spark.streams.addListener(log)
+    try:
+        # A query keeps the settings that it is started with.
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        query = writer.start()
+    except BaseException:
+        spark.streams.removeListener(log)
+        raise
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    return AlertJob(spark, query, log)
 
 
 def read_alerts(spark: SparkSession, target: str) -> DataFrame:
-    """All alerts of the completed batches, that is of those in the log."""
-    alerts = _stored(spark, f"{target}/alerts", f"{STREAM_ALERT}, batch bigint")
-    if "batch" not in alerts.columns:
-        alerts = alerts.withColumn("batch", F.lit(None).cast("bigint"))
-    done = F.broadcast(read_log(spark, target).select("batch").distinct())  # one row per micro-batch
-    return alerts.join(done, "batch", "left_semi").drop("batch")
-
-
-def read_log(spark: SparkSession, target: str) -> DataFrame:
-    schema = "alerts_emitted bigint, event_time timestamp, events_processed bigint, threshold int, batch bigint"
+    """All alerts of the committed batches."""
     try:
-        return spark.read.schema(schema).json(f"{target}/log")
+        return spark.read.schema(STREAM_ALERT).json(f"{target}/alerts")
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error.getCondition()):
             raise
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], STREAM_ALERT)
+
+
+def read_log(spark: SparkSession, target: str) -> DataFrame:
+    """Events, alerts and threshold of every micro-batch."""
+    return read_log_lines(spark, f"{target}/log")
 
 
 def all_alerts(batch_alerts: DataFrame, stream_alerts: DataFrame) -> DataFrame:

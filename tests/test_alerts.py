@@ -1,6 +1,6 @@
 import json
 import random
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 from decimal import Decimal
 
 import pytest
@@ -8,7 +8,8 @@ import pytest
 from creditlake.operators.alerts import score_alerts
 from creditlake.sources.io import append_jsonl, read_jsonl
 from creditlake.sources.schemas import STREAM_ALERT, STREAM_EVENT
-from creditlake.streaming.alerts import all_alerts, process_batch, read_alerts, read_events, read_log, snapshot, start_alerts
+from creditlake.streaming.alerts import all_alerts, end_period, read_alerts, read_events, read_log, start_alerts
+from creditlake.streaming.log import runs
 
 COLUMNS = "event_id transaction_id customer_id event_time transaction_type amount channel merchant_category".split()
 START = datetime(2024, 1, 1)
@@ -90,39 +91,128 @@ def write_events(folder, rows, name):
             out.write(json.dumps({c: str(v) for c, v in zip(COLUMNS, row)}) + "\n\n")
 
 
-def test_stream_equals_batch_and_restarts_without_repeats(spark, tmp_path):
-    rows = events(240, 3)
-    source, target, progress = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "progress")
-    for day in range(3):
-        write_events(source, rows[day * 60 : day * 60 + 60], f"{day}.json")
-        start_alerts(read_events(spark, str(source)), target, progress, 60).awaitTermination()
-    assert result(read_alerts(spark, target)) == sequential(rows[:180], 60)
+def stream(spark, folder, threshold=60, files=1000, **options):
+    """Run the job over what is in ``folder``/in, to its end."""
+    events = read_events(spark, str(folder / "in"), files)
+    options = {"delay": "10 seconds", "partitions": 2} | options
+    job = start_alerts(events, str(folder / "out"), str(folder / "progress"), threshold, **options)
+    job.awaitTermination()
+    return job
 
-    before = read_alerts(spark, target).count()
-    start_alerts(read_events(spark, str(source)), target, progress, 60).awaitTermination()
-    assert read_alerts(spark, target).count() == before
 
-    # The same events once more, under a new file name: nothing new.
-    write_events(source, rows[120:180], "again.json")
-    start_alerts(read_events(spark, str(source)), target, progress, 60).awaitTermination()
-    assert read_alerts(spark, target).count() == before
+def close(spark, folder, until, delay="10 seconds"):
+    end_period(spark, str(folder / "in"), until.replace(tzinfo=timezone.utc), delay)
 
-    write_events(source, rows[180:], "4.json")
-    start_alerts(read_events(spark, str(source)), target, progress, 60).awaitTermination()
-    assert result(read_alerts(spark, target)) == sequential(rows, 60)
 
-    log = read_log(spark, target).collect()
-    assert sum(r["events_processed"] for r in log) == 300
-    assert sum(r["alerts_emitted"] for r in log) == len(sequential(rows, 60))
-    assert {r["threshold"] for r in log} == {60}
+def streamed(spark, folder):
+    return result(read_alerts(spark, str(folder / "out")))
 
 
-def test_a_batch_that_runs_again_replaces_its_output(spark, tmp_path):
-    rows, target = events(200, 4), str(tmp_path / "out")
-    process_batch(frame(spark, rows[:100]), 0, target, 60)
-    process_batch(frame(spark, rows[100:]), 1, target, 60)
-    process_batch(frame(spark, rows[100:]), 1, target, 60)
-    assert result(read_alerts(spark, target)) == sequential(rows, 60)
+def test_stream_equals_batch_and_restarts_without_repeats(spark, tmp_path):
+    rows = events(240, 3)
+    for day in range(2):
+        write_events(tmp_path / "in", rows[day * 90 : day * 90 + 90], f"{day}.json")
+        stream(spark, tmp_path)
+    # What the watermark has not passed is still waiting.
+    assert set(streamed(spark, tmp_path)) < set(sequential(rows[:180], 60))
+    close(spark, tmp_path, START + timedelta(seconds=60))
+    stream(spark, tmp_path)
+    assert streamed(spark, tmp_path) == sequential(rows[:180], 60)
+    stream(spark, tmp_path)
+    assert streamed(spark, tmp_path) == sequential(rows[:180], 60)
+
+    # Some events once more, too late, and then the rest.
+    write_events(tmp_path / "in", rows[120:180], "again.json")
+    stream(spark, tmp_path)
+    write_events(tmp_path / "in", rows[180:], "rest.json")
+    close(spark, tmp_path, START + timedelta(days=1))
+    stream(spark, tmp_path)
+    expected = sequential(rows[:180] + rows[120:], 60)
+    assert streamed(spark, tmp_path) == expected
+
+    log = read_log(spark, str(tmp_path / "out"))
+    lines = log.collect()
+    assert sum(r["events_processed"] for r in lines) == 300
+    assert sum(r["alerts_emitted"] for r in lines) == len(expected)
+    assert {r["threshold"] for r in lines} == {60}
+    assert len({r["batch"] for r in lines}) == len(lines)
+    # The run that found nothing has no batch and no line.
+    assert [r["events_processed"] for r in runs(log).orderBy("first_batch").collect()] == [90, 90, 0, 60, 60]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_files_in_any_order_give_the_alerts_of_the_batch(spark, tmp_path, seed):
+    rows = events(240, 20 + seed)
+    order = list(range(8))
+    random.Random(seed).shuffle(order)
+    for number, part in enumerate(order):
+        write_events(tmp_path / "in", rows[part * 30 : part * 30 + 30], f"{number}.json")
+    close(spark, tmp_path, START + timedelta(seconds=80), "2 minutes")
+    stream(spark, tmp_path, files=3, delay="2 minutes")
+    assert streamed(spark, tmp_path) == result(score_alerts(frame(spark, rows), 60)) == sequential(rows, 60)
+
+
+def _last(folder):
+    return max((p for p in folder.iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+
+
+@pytest.mark.parametrize("stored", [True, False])
+def test_a_batch_that_was_killed_runs_again_without_repeats(spark, tmp_path, stored):
+    """The driver was lost after the batch's output was stored, or before."""
+    rows = events(200, 4)
+    write_events(tmp_path / "in", rows[:100], "0.json")
+    stream(spark, tmp_path)
+    write_events(tmp_path / "in", rows[100:], "1.json")
+    close(spark, tmp_path, START + timedelta(days=1))
+    stream(spark, tmp_path)
+    assert streamed(spark, tmp_path) == sequential(rows, 60)
+    for lost in [tmp_path / "progress/commits"] + [tmp_path / "out/alerts/_spark_metadata"] * (not stored):
+        last = _last(lost)
+        last.unlink()
+        (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    stream(spark, tmp_path)
+    assert streamed(spark, tmp_path) == sequential(rows, 60)
+
+
+def test_an_alert_is_remembered_for_good_and_late_events_are_scored(spark, tmp_path):
+    """The same event forty days later, and one that comes after its time."""
+    def at(name, day, kind="cash_out", amount="150000", customer="c"):
+        return (name, f"T{name}{day}", customer, START + timedelta(days=day), kind, amount, "app", "x")
+
+    first = [at("E1", 0), at("E2", 1), at("E3", 2, "transfer", "80000")]
+    later = [at("E1", 40), at("E4", 41), at("E3", 42, "cash_out", "80000")]
+    late = [at("E5", 3), at("E6", 2, customer="new")]
+    for number, (rows, until) in enumerate(((first, 3), (later, 43), (late, 50))):
+        write_events(tmp_path / "in", rows, f"{number}.json")
+        close(spark, tmp_path, START + timedelta(days=until))
+        stream(spark, tmp_path)
+    expected = sequential(first + later + late, 60)
+    assert streamed(spark, tmp_path) == expected and [r[0] for r in expected].count("STREAM-E1") == 1
+    assert {"STREAM-E5", "STREAM-E6"} < {r[0] for r in expected}
+    assert result(score_alerts(frame(spark, first + later), 60)) == sequential(first + later, 60)
+
+
+def test_a_batch_touches_only_its_customers(spark, tmp_path):
+    many = [(f"E{i}", f"T{i}", f"c{i}", START + timedelta(seconds=i), "cash_out", "150000", "app", "x") for i in range(300)]
+    write_events(tmp_path / "in", many, "0.json")
+    close(spark, tmp_path, START + timedelta(days=1))
+    stream(spark, tmp_path)
+    one = [("F1", "U1", "c7", START + timedelta(days=2), "cash_out", "150000", "app", "x")]
+    write_events(tmp_path / "in", one, "1.json")
+    close(spark, tmp_path, START + timedelta(days=3))
+    progress = stream(spark, tmp_path).query.recentProgress
+    assert sum(s["numRowsUpdated"] for p in progress for s in p["stateOperators"]) < 20
+    assert streamed(spark, tmp_path)[-1][:5] == sequential(many + one, 60)[-1][:5]
+
+
+def test_alerts_from_before_the_stream_are_known(spark, tmp_path):
+    rows = events(120, 8)
+    known = [f"E{i:05d}" for i in range(0, 120, 3)]
+    write_events(tmp_path / "in", rows, "0.json")
+    close(spark, tmp_path, START + timedelta(days=1))
+    customers = {r[0]: r[2] for r in rows}
+    stream(spark, tmp_path, known=spark.createDataFrame([(customers[k], k) for k in known], "customer_id string, event_id string"))
+    assert streamed(spark, tmp_path) == sequential(rows, 60, [f"STREAM-{k}" for k in known])
 
 
 def test_a_repeated_event_alerts_at_its_first_alerting_occurrence(spark, tmp_path):
@@ -132,9 +222,18 @@ def test_a_repeated_event_alerts_at_its_first_alerting_occurrence(spark, tmp_pat
     expected = sequential(rows, 60)
     assert [r[4] for r in expected] == [90, 80, 85]
     assert result(score_alerts(frame(spark, rows), 60)) == expected
-    for batch, row in enumerate(rows):
-        process_batch(frame(spark, [row]), batch, str(tmp_path / "out"), 60)
-    assert result(read_alerts(spark, str(tmp_path / "out"))) == expected
+    for number, row in enumerate(rows):
+        write_events(tmp_path / "in", [row], f"{number}.json")
+    close(spark, tmp_path, START + timedelta(days=1))
+    stream(spark, tmp_path)
+    assert streamed(spark, tmp_path) == expected
+
+
+def test_a_malformed_line_fails_the_job(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/0.json").write_text('{"event_id": "1"}\n{oops\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        stream(spark, tmp_path)
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -157,18 +256,6 @@ def test_alerts_do_not_depend_on_exchange_reuse(spark):
         spark.conf.unset("spark.sql.exchange.reuse")
 
 
-def test_state_does_not_grow_with_the_stream(spark, tmp_path):
-    """Each batch reads one snapshot; alerts older than the horizon are forgotten."""
-    target = str(tmp_path / "out")
-    for batch in range(5):
-        rows = [(f"E{batch}", f"T{batch}", "c", START + timedelta(days=20 * batch), "cash_out", "150000", "app", "x")]
-        process_batch(frame(spark, rows), batch, target, 60)
-    left = snapshot(spark, target, 4).collect()
-    assert sorted(r["alert_id"] or "" for r in left) == ["", "STREAM-E3", "STREAM-E4"]
-    assert len(list((tmp_path / "out" / "state").iterdir())) == 3
-    assert read_alerts(spark, target).count() == 5
-
-
 def test_reading_before_the_first_batch(spark, tmp_path):
     assert read_alerts(spark, str(tmp_path / "none")).count() == 0
 
