@@ -529,6 +529,25 @@ ORACLE: dict[str, str] = {
         FROM s_loans"""),
 }
 
+# Newest date first, and at equal dates the later load.
+ORACLE["incremental_load"] = _query("""
+    SELECT * EXCLUDE (load), year(action_date)::INTEGER AS year FROM (
+        SELECT *, 1 AS load FROM s_collections
+        UNION ALL SELECT * REPLACE ((amount_recovered * 2)::DECIMAL(18,2) AS amount_recovered), 2
+        FROM s_collections WHERE substr(collection_id, 4)::BIGINT % 7 = 0
+        UNION ALL SELECT * REPLACE ((action_date + 400)::DATE AS action_date, (amount_recovered + 1)::DECIMAL(18,2) AS amount_recovered), 2
+        FROM s_collections WHERE substr(collection_id, 4)::BIGINT % 11 = 3
+        UNION ALL SELECT * REPLACE ((action_date - 400)::DATE AS action_date, 'too_old' AS outcome), 2
+        FROM s_collections WHERE substr(collection_id, 4)::BIGINT % 13 = 5)
+    QUALIFY row_number() OVER (PARTITION BY collection_id ORDER BY action_date DESC, load DESC) = 1""")
+ORACLE["bucketed_segments"] = _query("""
+    SELECT customer_segment, count(*) AS repayments, sum(amount_paid)::DECIMAL(38,2) AS amount_paid
+    FROM g_fact_repayments JOIN g_dim_customer USING (customer_key) GROUP BY 1""")
+ORACLE["customer_statements"] = _query("""
+    SELECT customer_key, (repayment_date_key // 10000)::INTEGER AS year, count(*) AS repayments,
+           sum(amount_paid)::DECIMAL(38,2) AS amount_paid
+    FROM g_fact_repayments WHERE repayment_date_key // 10000 IN (1996, 1997, 2000, 2001) AND customer_key <= 100 GROUP BY 1, 2""")
+ORACLE["catalog_summary"] = ORACLE["portfolio_summary"]
 # The run over CSV extracts must give what the plans give over the tables.
 ORACLE["csv_run_summary"] = ORACLE["portfolio_summary"]
 ORACLE["csv_run_repayments_by_year"] = ORACLE["fact_repayments_by_year"]

@@ -2,7 +2,7 @@
 
 Each layer is written and read back, so a lost executor costs only the step it
 was working on, both sides of every later join are plain scans (which lets AQE
-split skewed partitions), and row counts come from file footers.
+split skewed partitions). Rows are counted by the tasks that write them.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from ..operators.quality import (
 )
 from ..operators.rules import accept_checked, check, reject, to_silver
 from ..operators.skew import stage
-from ..sources.io import empty_bronze, read_bronze_csv, write_fact, write_json, write_table
+from ..sources.io import empty_bronze, read_bronze_csv, write_counted, write_fact, write_json
 from ..sources.schemas import GOLD, SOURCE_COLUMNS, conform
 from .gold import GoldPlan, portfolio_summary
 from .silver import RULES, SILVER_ORDER
@@ -47,45 +47,53 @@ class PipelineResult:
             raise RuntimeError(f"run {self.run_id} failed: {self.issues}")
 
 
-def load_bronze(spark: SparkSession, source: str, target: str, multi_line: bool = False) -> tuple[dict, list]:
-    """Stored bronze frames by table, and the tables whose extract is missing."""
+Counts = dict[str, int]
+
+
+def load_bronze(spark: SparkSession, source: str, target: str, multi_line: bool = False) -> tuple[dict, Counts, list]:
+    """Stored bronze frames and their row counts by table, and the tables whose extract is missing."""
     ingested_at = F.lit(datetime.now(timezone.utc).replace(microsecond=0))
-    bronze, missing = {}, []
+    bronze, counts, missing = {}, {}, []
     for table, columns in SOURCE_COLUMNS.items():
         rows = read_bronze_csv(spark, f"{source}/{table}.csv", columns, ingested_at, multi_line)
         if rows is None:
             missing.append(table)
-            bronze[table] = empty_bronze(spark, columns)
+            bronze[table], counts[table] = empty_bronze(spark, columns), 0
         else:
-            bronze[table] = write_table(rows, f"{target}/bronze/{table}")
-    return bronze, missing
+            bronze[table], counts[table] = write_counted(rows, f"{target}/bronze/{table}")
+    return bronze, counts, missing
 
 
-def build_silver(bronze: dict[str, DataFrame], target: str) -> tuple[dict, dict]:
-    """Stored silver and quarantine frames by table."""
+def build_silver(bronze: dict[str, DataFrame], target: str) -> tuple[dict, Counts, dict, Counts]:
+    """Stored silver and quarantine frames by table, each with its row counts."""
     silver: dict[str, DataFrame] = {}
     quarantine: dict[str, DataFrame] = {}
+    accepted: Counts = {}
+    rejected: Counts = {}
     for table in SILVER_ORDER:
         rules = RULES[table]
         checked = stage(check(bronze[table], rules, silver))
-        silver[table] = write_table(to_silver(accept_checked(checked), rules), f"{target}/silver/{table}")
-        quarantine[table] = write_table(reject(checked, rules, staged=True), f"{target}/quarantine/{table}_errors")
-    return silver, quarantine
+        silver[table], accepted[table] = write_counted(to_silver(accept_checked(checked), rules), f"{target}/silver/{table}")
+        quarantine[table], rejected[table] = write_counted(
+            reject(checked, rules, staged=True), f"{target}/quarantine/{table}_errors"
+        )
+    return silver, accepted, quarantine, rejected
 
 
-def build_gold(silver: dict[str, DataFrame], target: str) -> dict[str, DataFrame]:
-    """Stored gold tables. Facts and the summary start from stored tables."""
+def build_gold(silver: dict[str, DataFrame], target: str) -> tuple[dict[str, DataFrame], Counts]:
+    """Stored gold tables and their row counts. Facts and the summary start from stored tables."""
     gold: dict[str, DataFrame] = {}
+    counts: Counts = {}
     dimensions = GoldPlan(silver.__getitem__)
     for name in DIMENSIONS:
-        gold[name] = write_table(conform(dimensions.table(name), GOLD[name]), f"{target}/gold/{name}")
+        gold[name], counts[name] = write_counted(conform(dimensions.table(name), GOLD[name]), f"{target}/gold/{name}")
     facts = GoldPlan(silver.__getitem__, gold.__getitem__)
     for name in FACTS:
-        gold[name] = write_fact(conform(facts.table(name), GOLD[name]), name, f"{target}/gold/{name}")
+        gold[name], counts[name] = write_fact(conform(facts.table(name), GOLD[name]), name, f"{target}/gold/{name}")
     named = gold["fact_loan_disbursement"].join(F.broadcast(gold["dim_loan_status"]), "loan_status_key")
     summary = conform(portfolio_summary(named), GOLD["portfolio_summary"])
-    gold["portfolio_summary"] = write_table(summary, f"{target}/gold/portfolio_summary")
-    return gold
+    gold["portfolio_summary"], counts["portfolio_summary"] = write_counted(summary, f"{target}/gold/portfolio_summary")
+    return gold, counts
 
 
 def run_pipeline(spark: SparkSession, source: str, target: str, multi_line: bool = False) -> PipelineResult:
@@ -93,14 +101,14 @@ def run_pipeline(spark: SparkSession, source: str, target: str, multi_line: bool
     started = datetime.now(timezone.utc)
     run_id = started.strftime("%Y%m%dT%H%M%SZ")
 
-    bronze, missing = load_bronze(spark, source, target, multi_line)
-    silver, quarantine = build_silver(bronze, target)
-    gold = build_gold(silver, target)
+    bronze, loaded, missing = load_bronze(spark, source, target, multi_line)
+    silver, accepted, quarantine, rejected = build_silver(bronze, target)
+    gold, stored = build_gold(silver, target)
 
-    per_table = [(t, bronze[t].count(), silver[t].count(), quarantine[t].count()) for t in SOURCE_COLUMNS]
+    per_table = [(t, loaded[t], accepted[t], rejected[t]) for t in SOURCE_COLUMNS]
     checked = spark.createDataFrame(per_table, "`table` string, source bigint, accepted bigint, rejected bigint")
     gold_counts = spark.createDataFrame(
-        [(f"gold.{name}", rows.count()) for name, rows in gold.items()], "name string, row_count bigint"
+        [(f"gold.{name}", rows) for name, rows in stored.items()], "name string, row_count bigint"
     )
     absent = spark.createDataFrame(
         [(t, "source_file_exists", "error", f"Missing source file: {source}/{t}.csv", 1) for t in missing], ISSUE_SCHEMA

@@ -34,12 +34,14 @@ from ..operators.quality import (
 from ..operators.rules import explain_rows
 from ..operators.schedule import instalment_schedule, large_movements, with_due_date
 from ..operators.skew import lookup_join, shared_folder, stage
+from ..sources.catalog import publish_bucketed, publish_tables, publish_views, read_raw
 from ..sources.io import fact_by_year, with_metadata, write_csv
 from ..sources.schemas import GOLD, SOURCE_COLUMNS, conform
 from ..sources.tpch import LINE_ORDER, TpchExtracts, line_amount
 from ..streaming.alerts import end_period, read_alerts, read_events, read_log, start_alerts, write_events
 from ..streaming.log import runs
 from .gold import GoldPlan, loan_balances, loan_rollup, loan_status_names, total_by
+from .incremental import IncrementalStore
 from .pipeline import PipelineResult, run_pipeline
 from .silver import RULES, SILVER_ORDER, SilverPlan, latest_version, merge_increment
 
@@ -199,6 +201,86 @@ def incremental_collections(spark: SparkSession, folder: str) -> DataFrame:
     return merge_increment(stored, incoming, "collections")
 
 
+def _changed(collections: DataFrame) -> DataFrame:
+    """Corrections of stored collections: some at the same date, some moved a year on, some too old to count."""
+    number = F.substring("collection_id", 4, 20).cast("bigint")
+    of = {"same": number % 7 == 0, "later": number % 11 == 3, "older": number % 13 == 5}
+    one = F.lit(1).cast(MONEY)
+    parts = {
+        "same": collections.filter(of["same"]).withColumn("amount_recovered", (F.col("amount_recovered") * 2).cast(MONEY)),
+        "later": collections.filter(of["later"]).withColumns(
+            {"action_date": F.date_add("action_date", 400), "amount_recovered": (F.col("amount_recovered") + one).cast(MONEY)}
+        ),
+        "older": collections.filter(of["older"]).withColumns(
+            {"action_date": F.date_add("action_date", -400), "outcome": F.lit("too_old")}
+        ),
+    }
+    return union_all(parts.values())
+
+
+def incremental_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Collections stored by year: a first load, an increment from its mark on, and one with changed rows."""
+    collections = SilverPlan(TpchExtracts(spark, folder), keep=("collections",)).table("collections")
+    store = IncrementalStore(spark, f"{shared_folder(spark)}/store-{uuid.uuid4().hex}")
+    first = F.col("action_date") <= F.lit("2000-06-30").cast("date")
+    store.load("collections", collections.filter(first))
+    store.load("collections", store.fresh("collections", collections))
+    store.load("collections", _changed(collections))
+    return store.table("collections")
+
+
+def _database(spark: SparkSession) -> str:
+    """A new database in the shared folder."""
+    name = f"creditlake_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{shared_folder(spark)}/{name}'")
+    return name
+
+
+def bucketed_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Repayments per customer segment, from the stored fact and dimension that share their buckets."""
+    database = _database(spark)
+    gold = GoldPlan(_kept_silver(spark, folder, "repayments").table)
+    # Both number the same customers, so keys agree.
+    names = ("dim_customer", "fact_repayments")
+    publish_bucketed({n: conform(gold.table(n), GOLD[n]) for n in names}, database, buckets=8)
+    return segments_of_repayments(spark, database)
+
+
+def segments_of_repayments(spark: SparkSession, database: str) -> DataFrame:
+    fact, customers = spark.table(f"{database}.fact_repayments"), spark.table(f"{database}.dim_customer")
+    joined = fact.select("customer_key", "amount_paid").join(customers.select("customer_key", "customer_segment"), "customer_key")
+    return joined.groupBy("customer_segment").agg(
+        F.count(F.lit(1)).alias("repayments"), F.sum("amount_paid").cast("decimal(38,2)").alias("amount_paid")
+    )
+
+
+def customer_statements(spark: SparkSession, folder: str) -> DataFrame:
+    """Repayments of the first customers in two years, from the stored fact: partitions and row groups are skipped."""
+    database = _database(spark)
+    gold = GoldPlan(_kept_silver(spark, folder, "repayments").table)
+    publish_tables({"fact_repayments": conform(gold.table("fact_repayments"), GOLD["fact_repayments"])}, database)
+    return spark.sql(
+        f"""SELECT customer_key, year, count(*) AS repayments, CAST(sum(amount_paid) AS DECIMAL(38,2)) AS amount_paid
+            FROM {database}.fact_repayments WHERE year IN (1996, 1997, 2000, 2001) AND customer_key <= 100
+            GROUP BY customer_key, year"""
+    )
+
+
+def catalog_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole way through named tables: raw tables, silver views over them, and a stored gold table."""
+    database = _database(spark)
+    extracts = TpchExtracts(spark, folder)
+    used = ("branches", "products", "customers", "loans", "repayments", "collections")
+    for name in used:
+        extracts[name].select("*").write.format("parquet").saveAsTable(f"{database}.{name}")
+    raw = {name: read_raw(spark, database, name, "_row_seq") for name in used}
+    silver = SilverPlan(raw, keep=("loans",))
+    publish_views({name: silver.table(name) for name in ("loans", "repayments", "collections")}, f"{database}_")
+    summary = GoldPlan(lambda name: spark.table(f"{database}_{name}")).table("portfolio_summary")
+    publish_tables({"portfolio_summary": conform(summary, GOLD["portfolio_summary"])}, database)
+    return spark.table(f"{database}.portfolio_summary")
+
+
 def line_amounts_half_even(spark: SparkSession, folder: str) -> DataFrame:
     lines = TpchExtracts(spark, folder).read("lineitem")
     return lines.select("l_orderkey", "l_linenumber", line_amount().alias("amount"))
@@ -409,6 +491,10 @@ QUERIES: dict[str, Query] = {
     "csv_run_counts": csv_run_counts,
     "csv_run_summary": csv_run_summary,
     "csv_run_repayments_by_year": csv_run_repayments_by_year,
+    "incremental_load": incremental_load,
+    "bucketed_segments": bucketed_segments,
+    "customer_statements": customer_statements,
+    "catalog_summary": catalog_summary,
     "line_amounts_half_even": line_amounts_half_even,
     "instalment_schedule": instalment_schedule_query,
     "loan_due_dates": loan_due_dates,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,10 +109,26 @@ def write_json(record: DataFrame, path: str) -> None:
     record.coalesce(1).write.mode("overwrite").json(path)
 
 
+def _counted(rows: DataFrame) -> tuple[DataFrame, Observation]:
+    """``rows``, and their number once they have been written.
+
+    The rows are counted in the tasks that write them; of a task that runs again
+    only the attempt that succeeds counts.
+    """
+    observation = Observation()
+    return rows.observe(observation, F.count(F.lit(1)).alias("rows")), observation
+
+
+def write_counted(rows: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """Store a frame and read it back, so that later steps start from the files; with its number of rows."""
+    counted, observation = _counted(rows)
+    counted.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path), observation.get["rows"]
+
+
 def write_table(rows: DataFrame, path: str) -> DataFrame:
-    """Store a frame and read it back, so that later steps start from the files."""
-    rows.write.mode("overwrite").parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    """Store a frame and read it back."""
+    return write_counted(rows, path)[0]
 
 
 def fact_by_year(fact: DataFrame, name: str) -> DataFrame:
@@ -128,8 +144,9 @@ def fact_by_year(fact: DataFrame, name: str) -> DataFrame:
     return with_year.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
-def write_fact(fact: DataFrame, name: str, path: str) -> DataFrame:
-    """Store a fact partitioned by year. Filter on ``year`` to prune partitions."""
+def write_fact(fact: DataFrame, name: str, path: str) -> tuple[DataFrame, int]:
+    """Store a fact partitioned by year, and count it. Filter on ``year`` to prune partitions."""
     laid_out = fact_by_year(fact, name)
-    laid_out.write.mode("overwrite").partitionBy("year").parquet(path)
-    return fact.sparkSession.read.schema(laid_out.schema).parquet(path)
+    counted, observation = _counted(laid_out)
+    counted.write.mode("overwrite").partitionBy("year").parquet(path)
+    return fact.sparkSession.read.schema(laid_out.schema).parquet(path), observation.get["rows"]
