@@ -414,11 +414,11 @@ def _constraints() -> str:
         for t, c in NOT_NULL
     ]
     parts += [
-        f"SELECT 'unique', '{t}', '{c}', (SELECT count(*) FROM (SELECT {c} FROM g_{t} GROUP BY 1 HAVING count(*) > 1))"
+        f"SELECT 'unique', '{t}', '{c}', (SELECT count(*) FROM (SELECT {c} FROM g_{t} WHERE {c} IS NOT NULL GROUP BY 1 HAVING count(*) > 1))"
         for t, c in UNIQUE
     ]
     parts += [
-        f"SELECT 'relationships', '{t}', '{c}', (SELECT count(*) FROM g_{t} WHERE {c} NOT IN (SELECT {key} FROM g_{p}))"
+        f"SELECT 'relationships', '{t}', '{c}', (SELECT count(*) FROM g_{t} WHERE {c} NOT IN (SELECT {key} FROM g_{p} WHERE {key} IS NOT NULL))"
         for t, c, p, key in RELATIONSHIPS
     ]
     return " UNION ALL ".join(parts)
@@ -529,6 +529,46 @@ ORACLE: dict[str, str] = {
         FROM s_loans"""),
 }
 
+
+
+def _changed(changes: dict[str, str], sql: str) -> str:
+    """``sql`` over the expressions, of which those in ``changes`` are put around the usual ones at ``{}``."""
+    made = [f"{name} AS ({changes.get(name, '{}').replace('{}', _CTES[name])})" for name in _closure(sql)]
+    return f"WITH {', '.join(made)} {sql}"
+
+
+ORACLE["faulty_rejects"] = _changed(
+    {
+        "collections": """SELECT * REPLACE (CASE WHEN substr(collection_id, 4)::BIGINT % 9 = 2 THEN -amount_recovered - 1
+            ELSE amount_recovered END::DECIMAL(18,2) AS amount_recovered) FROM ({})"""
+    },
+    """SELECT 'collections' AS "table", collection_id AS key, error_reason FROM q_collections
+    UNION ALL SELECT 'fraud_alerts', f.alert_id, concat_ws('|',
+        CASE WHEN substr(f.alert_id, 4)::BIGINT % 5 = 1 THEN 'invalid_risk_score' END,
+        CASE WHEN c.customer_id IS NULL THEN 'unknown_customer_id' END)
+    FROM fraud_alerts f LEFT JOIN s_customers c USING (customer_id)
+    WHERE c.customer_id IS NULL OR substr(f.alert_id, 4)::BIGINT % 5 = 1
+    UNION ALL SELECT 'branches', branch_id, 'duplicate_branch_id' FROM branches WHERE substr(branch_id, 3)::BIGINT % 3 = 0
+    UNION ALL SELECT 'products', ' ', 'product_id' FROM products WHERE substr(product_id, 4)::BIGINT % 50 = 0""",
+)
+_BROKEN = {
+    "b_dim_customer": "SELECT * REPLACE (CASE WHEN customer_key % 10 <> 0 THEN customer_key END AS customer_key) FROM g_dim_customer",
+    "b_dim_product": "SELECT p.* FROM g_dim_product p JOIN range(1, 3) AS twice(i) ON i = 1 OR product_key <= 5",
+    "b_fact_loan_disbursement": """SELECT * REPLACE (CASE WHEN customer_key % 4 = 0 THEN customer_key + 1000000 ELSE customer_key END
+        AS customer_key) FROM g_fact_loan_disbursement""",
+}
+ORACLE["broken_constraints"] = (
+    f"WITH {_needed(_constraints())}, {', '.join(f'{n} AS ({sql})' for n, sql in _BROKEN.items())} "
+    + re.sub(r"\bg_(?=dim_customer|dim_product|fact_loan)", "b_", _constraints())
+)
+ORACLE["audit_issues"] = _query(f"""
+    SELECT 'failed' AS status, i.*, n AS bronze_rows
+    FROM ({_issues()} UNION ALL SELECT 'repayments', 'row_count_reconciliation', 'error',
+          'Accepted plus rejected rows does not equal source rows', 1) i
+    JOIN ({" UNION ALL ".join(f"SELECT '{t}' AS t, count(*) AS n FROM {'movements' if t == 'mobile_transactions' else t}" for t in _TABLES)})
+    ON t = "table" """)
+ORACLE["jsonl_alerts"] = _alerts(60)
+ORACLE["sql_segments"] = _query("SELECT customer_id, customer_segment, loan_utilization_band FROM g_dim_customer")
 # Newest date first, and at equal dates the later load.
 ORACLE["incremental_load"] = _query("""
     SELECT * EXCLUDE (load), year(action_date)::INTEGER AS year FROM (

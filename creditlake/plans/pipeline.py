@@ -86,7 +86,10 @@ def build_gold(silver: dict[str, DataFrame], target: str) -> tuple[dict[str, Dat
     counts: Counts = {}
     dimensions = GoldPlan(silver.__getitem__)
     for name in DIMENSIONS:
-        gold[name], counts[name] = write_counted(conform(dimensions.table(name), GOLD[name]), f"{target}/gold/{name}")
+        rows = conform(dimensions.table(name), GOLD[name])
+        if name == "dim_date":
+            rows = rows.orderBy("date_key")  # one row per day
+        gold[name], counts[name] = write_counted(rows, f"{target}/gold/{name}")
     facts = GoldPlan(silver.__getitem__, gold.__getitem__)
     for name in FACTS:
         gold[name], counts[name] = write_fact(conform(facts.table(name), GOLD[name]), name, f"{target}/gold/{name}")

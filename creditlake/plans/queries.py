@@ -18,12 +18,14 @@ from ..functions.scalars import (
     padded_id,
     parse_decimal,
     risk_score,
+    run_id,
     utilization_band,
 )
 from ..functions.sql import register_sql_functions
 from ..operators.alerts import score_alerts
 from ..operators.keys import dedupe_first, dedupe_rejects, dense_keys, latest_per_key, newer_than, upsert
 from ..operators.quality import (
+    audit_record,
     constraint_tests,
     duplicate_key_count,
     layer_counts,
@@ -35,8 +37,8 @@ from ..operators.rules import explain_rows
 from ..operators.schedule import instalment_schedule, large_movements, with_due_date
 from ..operators.skew import lookup_join, shared_folder, stage
 from ..sources.catalog import publish_bucketed, publish_tables, publish_views, read_raw
-from ..sources.io import fact_by_year, with_metadata, write_csv
-from ..sources.schemas import GOLD, SOURCE_COLUMNS, conform
+from ..sources.io import append_jsonl, fact_by_year, read_jsonl, with_metadata, write_csv, write_json
+from ..sources.schemas import GOLD, SOURCE_COLUMNS, STREAM_ALERT, conform
 from ..sources.tpch import LINE_ORDER, TpchExtracts, line_amount
 from ..streaming.alerts import end_period, read_alerts, read_events, read_log, start_alerts, write_events
 from ..streaming.log import runs
@@ -281,6 +283,86 @@ def catalog_summary(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(f"{database}.portfolio_summary")
 
 
+def faulty_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Rejected rows of extracts with faults put in: negative recoveries, scores of 0, repeated branches, blank products."""
+    extracts = TpchExtracts(spark, folder)
+    number = lambda column, prefix: F.substring(column, prefix + 1, 20).cast("bigint")
+    recovered = F.col("amount_recovered").cast(MONEY)
+    collections = extracts["collections"].withColumn(
+        "amount_recovered",
+        F.when(number("collection_id", 3) % 9 == 2, (-recovered - 1).cast(MONEY)).otherwise(recovered).cast("string"),
+    )
+    alerts = extracts["fraud_alerts"].withColumn(
+        "risk_score", F.when(number("alert_id", 3) % 5 == 1, "0").otherwise(F.col("risk_score"))
+    )
+    again = extracts["branches"].filter(number("branch_id", 2) % 3 == 0)
+    branches = extracts["branches"].unionByName(again.withColumn("_row_seq", F.col("_row_seq").withField("file_name", F.lit("~"))))
+    products = extracts["products"].withColumn(
+        "product_id", F.when(number("product_id", 3) % 50 == 0, " ").otherwise(F.col("product_id"))
+    )
+    children = SilverPlan({**extracts, "collections": collections, "fraud_alerts": alerts}, keep=("customers", "loans"))
+    parents = SilverPlan({"branches": branches, "products": products})
+    found = [(children, "collections"), (children, "fraud_alerts"), (parents, "branches"), (parents, "products")]
+    return union_all(
+        plan.quarantine(t).select(F.lit(t).alias("table"), F.col(RULES[t].key).alias("key"), "error_reason") for plan, t in found
+    )
+
+
+def broken_constraints(spark: SparkSession, folder: str) -> DataFrame:
+    """The constraint tests over gold tables with missing keys, repeated products and unknown customers."""
+    gold = GoldPlan(_kept_silver(spark, folder).table, staged=True)
+    key = F.col("customer_key")
+
+    def table(name: str) -> DataFrame:
+        rows = gold.table(name)
+        if name == "dim_customer":
+            return rows.withColumn("customer_key", F.when(key % 10 != 0, key))
+        if name == "dim_product":
+            return rows.unionByName(rows.filter("product_key <= 5"))
+        if name == "fact_loan_disbursement":
+            return rows.withColumn("customer_key", F.when(key % 4 == 0, key + 1000000).otherwise(key))
+        return rows
+
+    return constraint_tests(table)
+
+
+def audit_issues(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored audit of a run that has lost a repayment: its status and issues, read back from JSON."""
+    lost = F.when(F.col("table") == "repayments", 1).otherwise(0)
+    checked = stage(_checked_counts(_staged_silver(spark, folder)).withColumn("accepted", F.col("accepted") - lost))
+    path = f"{shared_folder(spark)}/audit-{uuid.uuid4().hex}"
+    run = {"run_id": run_id(now()), "started_at": run_id(now()), "completed_at": now()}
+    write_json(audit_record(quality_issues(checked), layer_counts(checked), run, {"silver": f"{path}/silver"}), path)
+    schema = "status string, quality struct<row_counts: map<string, bigint>, issues: array<struct<`table`: string, check_name: string, severity: string, message: string, failed_count: bigint>>>"
+    audit = spark.read.schema(schema).json(path)
+    issues = audit.select("status", "quality.row_counts", F.inline("quality.issues"))
+    return issues.withColumn("bronze_rows", F.col("row_counts")[F.concat(F.lit("bronze."), F.col("table"))]).drop("row_counts")
+
+
+def jsonl_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """Alerts appended to JSON lines in two runs, and read back."""
+    extracts = TpchExtracts(spark, folder)
+    found = stage(score_alerts(_of_known_customers(extracts.stream_events(), extracts), 60))
+    path = f"{shared_folder(spark)}/alerts-{uuid.uuid4().hex}"
+    first = F.col("risk_score") >= 75
+    append_jsonl(found.filter(first), path)
+    append_jsonl(found.filter(~first), path)
+    return read_jsonl(spark, path, STREAM_ALERT).select(*_ALERT_OUT)
+
+
+def sql_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Segment and band of every customer through the registered SQL functions."""
+    register_sql_functions(spark)
+    silver = _silver(spark, folder)
+    rolled = silver.table("customers").join(loan_rollup(silver.table("loans")), "customer_id", "left")
+    rolled.createOrReplaceTempView("creditlake_customers")
+    return spark.sql(
+        """SELECT customer_id, customer_segment(monthly_income, coalesce(defaulted_loans, 0)) AS customer_segment,
+                  loan_utilization_band(coalesce(total_disbursed, 0)) AS loan_utilization_band
+           FROM creditlake_customers"""
+    )
+
+
 def line_amounts_half_even(spark: SparkSession, folder: str) -> DataFrame:
     lines = TpchExtracts(spark, folder).read("lineitem")
     return lines.select("l_orderkey", "l_linenumber", line_amount().alias("amount"))
@@ -491,6 +573,11 @@ QUERIES: dict[str, Query] = {
     "csv_run_counts": csv_run_counts,
     "csv_run_summary": csv_run_summary,
     "csv_run_repayments_by_year": csv_run_repayments_by_year,
+    "faulty_rejects": faulty_rejects,
+    "broken_constraints": broken_constraints,
+    "audit_issues": audit_issues,
+    "jsonl_alerts": jsonl_alerts,
+    "sql_segments": sql_segments,
     "incremental_load": incremental_load,
     "bucketed_segments": bucketed_segments,
     "customer_statements": customer_statements,

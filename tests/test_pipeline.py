@@ -139,6 +139,13 @@ def test_facts_are_partitioned_by_year_and_constraints_hold(run):
     assert gold_constraints(result.tables).agg(F.sum("failures")).first()[0] == 0
 
 
+def test_dates_are_stored_in_order(spark, run):
+    days = []
+    for path in sorted((run[1] / "out/gold/dim_date").glob("*.parquet")):
+        days += [r["date_key"] for r in spark.read.parquet(str(path)).coalesce(1).collect()]
+    assert len(days) > 60 and days == sorted(days)
+
+
 def test_bronze_metadata(spark, run):
     rows = spark.read.parquet(str(run[1] / "out/bronze/loans"))
     assert {r["_source_file"] for r in rows.collect()} == {"loans.csv"}
