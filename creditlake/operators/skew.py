@@ -21,6 +21,16 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, on: str) -> DataFrame:
     return rows.join(lookup.hint("rebalance"), on, "left")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` of a scan, dealt out to all cores if the scan has fewer tasks than there are cores.
+
+    A file of one row group is read by one task, which would also do all the work
+    up to the first shuffle. A scan with a task for every core stays as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate results that all executors can reach.
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import MONEY, is_large_movement, padded_id, risk_score, round_money
-from ..operators.skew import lookup_join
+from ..operators.skew import lookup_join, spread
 
 # The transaction type that stands for each event type.
 TRANSACTION_TYPES = {
@@ -36,6 +36,10 @@ LINE_ORDER = (
 )
 
 
+# Tables that grow with the business; the others are parties, places and products.
+_LARGE = ("orders", "lineitem", "events")
+
+
 def _text(value: Column | str) -> Column:
     return (F.col(value) if isinstance(value, str) else value).cast("string")
 
@@ -88,7 +92,8 @@ class TpchExtracts(Mapping):
     def ordered(self, name: str, *leading: str) -> DataFrame:
         """A table with ``_row_seq``: the leading columns, then the place in the file."""
         place = (F.col("_metadata.file_name"), F.col("_metadata.row_index"))
-        return self.read(name).withColumn("_row_seq", F.struct(*leading, *place))
+        rows = self.read(name).withColumn("_row_seq", F.struct(*leading, *place))
+        return spread(rows) if name in _LARGE else rows
 
     def branches(self) -> DataFrame:
         region = self.read("region").withColumnRenamed("r_regionkey", "n_regionkey")
