@@ -36,7 +36,7 @@ def test_pipeline_matches_plain_stages(spark, tmp_path):
         texts.append((i, " ".join(text)))
         labels.append((i, 1, int(i % 6 == 0)))
     item = " ".join(f"q{i}" for i in range(14))
-    texts += [(300 + i, texts[1][1]) for i in range(3)] + [(310, texts[2][1] + " more"), (320, "start " + item), (321, None), (322, "write a@b.com " + texts[3][1])]
+    texts += [(300 + i, texts[1][1]) for i in range(3)] + [(310, texts[2][1] + " more"), (320, "start " + item), (321, None), (322, "write a@b.com " + " ".join(rng.choices(words, k=40)))]
     folder = str(tmp_path)
     docs(spark, texts).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
