@@ -279,3 +279,12 @@ def test_batch_and_stream_alerts_share_a_schema(spark):
     batch = spark.createDataFrame([], "alert_id string, transaction_id string, customer_id string, alert_timestamp timestamp, rule_name string, risk_score int, alert_status string")
     stream = score_alerts(frame(spark, events(50, 2)), 60)
     assert all_alerts(batch, stream).count() == stream.count()
+
+
+def test_all_events_move_the_watermark(spark, tmp_path):
+    """Events that cannot alert are dropped after they have moved the watermark, not before."""
+    idle = ("E9", "T9", "d", START + timedelta(seconds=500), "cash_in", "1", "app", "x")
+    rows = events(30, 6)
+    write_events(tmp_path / "in", [*rows, idle], "0.json")
+    stream(spark, tmp_path)
+    assert streamed(spark, tmp_path) == sequential(rows, 60)
