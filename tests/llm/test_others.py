@@ -1,5 +1,6 @@
 import datetime as dt
 import gzip
+import math
 import random
 import struct
 import zlib
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from creditlake.llm.mixing import Mix, cells_of, rake, sampled_documents, topic_of, with_copies
 from creditlake.llm.quotes import link_quotes
 from creditlake.llm.sitetree import Limits, extract_main_text, main_text, style_tree
+from creditlake.llm import toxicity
 from creditlake.llm.toxicity import Settings, fit, held_out, remove_toxic, toxicity_scores, with_score
 from creditlake.llm.urls import intervals, temporal_list_join
 from creditlake.llm.warc import archive_round_trip, read_warc, write_pages
@@ -222,21 +224,74 @@ def test_toxicity_ignores_held_out_labels_and_missing_classes(spark):
     flipped = known.withColumn("toxic", F.when(held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     assert fit(table, known) == fit(table, flipped)
     model = fit(table, known.filter("toxic = 0"), Settings())
-    assert not model.units and 0 < model.score(0.0) < 0.1
+    assert model.rest is None and 0 < model.score(0.0, 0) < 0.1
     assert toxicity_scores(docs(spark, []), known).count() == 0
 
 
-def test_toxicity_model_holds_rare_words_and_all_pairs(spark):
-    rows, labels = toxic_corpus(400)
-    learned = [i for i, _, bad in labels if bad and zlib.crc32(str(i).encode()) % 3 != 1][:3]
-    rows = [(i, f"{text} skulk" if i in learned else text) for i, text in rows]
+def plain_evidence(rows, labels, texts, prior):
+    """Evidence of ``texts`` by the definition of the class-conditional models, and the words of the training rows."""
+    truth = {i: bad for i, _, bad in labels if zlib.crc32(str(i).encode()) % 3 != 1}
+    train = [(fold, set(text.split()), truth[i]) for (i, text), fold in rows if i in truth]
+    words = {w for _, found, _ in train for w in found}
+
+    def cell(w, without=None):
+        k = [sum(w in found and bad == c and fold != without for fold, found, bad in train) for c in (1, 0)]
+        return tuple(n if n <= 4 else math.floor(4 + 2 * math.log2(n / 4)) for n in k)
+
+    sizes = [[sum(len(found) for fold, found, bad in train if fold == f and bad == c) for c in (1, 0)] for f in range(3)]
+    mean = [sum(s[j] for s in sizes) / 3 for j in (0, 1)]
+    cells = {}
+    for w in words:
+        for f in range(3):
+            sums = cells.setdefault(cell(w, f), [0, 0])
+            for fold, found, bad in train:
+                if fold == f and w in found:
+                    sums[1 - bad] += mean[1 - bad] / sizes[f][1 - bad]
+    share = [sum(c[j] for c in cells.values()) for j in (0, 1)]
+    share = [n / sum(share) for n in share]
+
+    def evidence(w):
+        held = cells.get(cell(w), [0, 0])
+        k = [n if n <= 4 else 4 * 2 ** ((n - 3.5) / 2) for n in cell(w)]
+        off = [min(n, 0.75) for n in k]
+        p = [(n - d + sum(off) * s) / sum(k) if sum(k) else s for n, d, s in zip(k, off, share, strict=True)]
+        p = [math.log((n + prior * q) / (sum(held) + prior) / s) for n, q, s in zip(held, p, share, strict=True)]
+        return p[0] - p[1]
+
+    return [sum(evidence(w) for w in set(t.split())) for t in texts], words
+
+
+@pytest.mark.parametrize("common", [1 << 20, 40, 0])
+def test_toxicity_equals_plain_models(spark, monkeypatch, common):
+    monkeypatch.setattr(toxicity, "COMMON", common)
+    monkeypatch.setattr(toxicity, "BITS", 1 << 10)
+    rows, labels = toxic_corpus(240)
+    rows = [(i, f"{text} rare{i}") for i, text in rows]
+    known = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    table = docs(spark, rows)
+    folds = [r["fold"] for r in table.orderBy("doc_id").select(F.pmod(F.xxhash64("text"), F.lit(3)).alias("fold")).collect()]
+    asked = [t for _, t in rows[:40]] + ["vile", "unknown words", "vile rotten unknown w1", "w1 " * 30_000 + "rotten"]
+    expected, words = plain_evidence(list(zip(rows, folds, strict=True)), labels, asked, Settings().prior)
+    model = fit(table, known)
+    assert model.words == len(words) and (common > len(words)) == (model.rest.count() == 0)
+    scored, name = with_score(docs(spark, [*enumerate(asked), (98, None), (99, " . ")]), model)
+    found = {r["doc_id"]: r[name] for r in scored.collect()}
+    for i, (text, evidence) in enumerate(zip(asked, expected, strict=True)):
+        assert found[i] == pytest.approx(model.score(evidence, len(set(text.split()))), rel=1e-5)
+    assert found[98] == found[99] == model.share
+
+
+def test_toxicity_counts_copies_once_and_keeps_clashing_columns(spark):
+    rows, labels = toxic_corpus(300)
     known = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
-    model = fit(docs(spark, rows), known)
-    texts = [text.split() for i, text in rows if zlib.crc32(str(i).encode()) % 3 != 1]
-    assert {r["w"] for r in model.units.filter("NOT endswith(w, '*')").collect()} == {w for t in texts for w in t}
-    assert model.pairs.count() == len({p for t in texts for p in zip(["", *t], t)})
-    plain = "w1 w2 w3 w4 w5 w6"
-    asked = docs(spark, [(9000, f"{plain} qq"), (9001, f"{plain} skulk"), (9002, f"{plain} qq"), (9003, f"{plain} skulkish")])
-    found, name = with_score(asked, model)
-    score = {r["doc_id"]: r[name] for r in found.collect()}
-    assert score[9001] > score[9000] == score[9002] < score[9003]
+    once = fit(docs(spark, rows), known)
+    copied = [(1000 + 2 * i + j, rows[j][1]) for i in range(60) for j in (0, 1)]
+    more = spark.createDataFrame([*labels, *[(i, 1, int(t == rows[0][1])) for i, t in copied]], "doc_id bigint, quality int, toxic int")
+    learned = {i for i, _ in rows[:2] if zlib.crc32(str(i).encode()) % 3 != 1}
+    if len(learned) == 2:
+        assert fit(docs(spark, [*rows, *copied]), more) == once
+    clash = docs(spark, [*rows, rows[0], rows[1], (None, None)]).selectExpr("doc_id", "text", "1 AS Score", "2 AS _words", "3 AS _row", "4 AS key")
+    kept = remove_toxic(clash, once)
+    assert kept.columns == clash.columns
+    plain = remove_toxic(docs(spark, [*rows, rows[0], rows[1], (None, None)]), once)
+    assert sorted(r["doc_id"] or -1 for r in kept.collect()) == sorted(r["doc_id"] or -1 for r in plain.collect())
