@@ -238,11 +238,11 @@ def plain_evidence(rows, labels, texts, prior):
         k = [sum(w in found and bad == c and fold != without for fold, found, bad in train) for c in (1, 0)]
         return tuple(n if n <= 4 else math.floor(4 + 2 * math.log2(n / 4)) for n in k)
 
-    sizes = [[sum(len(found) for fold, found, bad in train if fold == f and bad == c) for c in (1, 0)] for f in range(3)]
-    mean = [sum(s[j] for s in sizes) / 3 for j in (0, 1)]
+    sizes = [[sum(len(found) for fold, found, bad in train if fold == f and bad == c) for c in (1, 0)] for f in range(toxicity.FOLDS)]
+    mean = [sum(s[j] for s in sizes) / toxicity.FOLDS for j in (0, 1)]
     cells = {}
     for w in words:
-        for f in range(3):
+        for f in range(toxicity.FOLDS):
             sums = cells.setdefault(cell(w, f), [0, 0])
             for fold, found, bad in train:
                 if fold == f and w in found:
@@ -269,7 +269,7 @@ def test_toxicity_equals_plain_models(spark, monkeypatch, common):
     rows = [(i, f"{text} rare{i}") for i, text in rows]
     known = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
     table = docs(spark, rows)
-    folds = [r["fold"] for r in table.orderBy("doc_id").select(F.pmod(F.xxhash64("text"), F.lit(3)).alias("fold")).collect()]
+    folds = [r["fold"] for r in table.orderBy("doc_id").select(F.pmod(F.xxhash64("text"), F.lit(toxicity.FOLDS)).alias("fold")).collect()]
     asked = [t for _, t in rows[:40]] + ["vile", "unknown words", "vile rotten unknown w1", "w1 " * 30_000 + "rotten"]
     expected, words = plain_evidence(list(zip(rows, folds, strict=True)), labels, asked, Settings().prior)
     model = fit(table, known)
