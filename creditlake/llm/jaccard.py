@@ -14,13 +14,15 @@ that very many sets share (passages, boilerplate) last; the list of these is
 bounded and chooses the order only, never which pairs are found. For sets of 64
 shingles and more, that m exceeds k is certain but for a chance of about 1e-10.
 
-Exact copies are one set. Sets that share a signature are compared in rounds,
-without emitting all pairs of a group: some sets of a group are compared with all
-others of another component, then leave the group; groups of one component are
-done. The number so compared quadruples with each round. A pair is
-dropped when the parities of its shingles per hash range, a few hundred bytes,
-differ in more than k places; that is exact, as every different shingle changes
-one parity. What remains is compared by its full sets.
+Exact copies are one set. Signatures that the same sets share count once. Sets
+that share a signature are compared by the parities of their shingles per hash
+range, some hundred bytes: every different shingle changes one parity, so a pair
+that differs in more than k of them is dropped, which is exact. Blocks of sets
+meet blocks of sets inside tasks, and no row is made per pair: first a few sets of
+a group lead and every other set keeps the nearest of them; then, in rounds, each
+set outside of its group's largest component keeps the nearest set of another
+component; when none of these is similar by its full sets, all pairs that the
+parities still allow are compared by them. Groups of one component are done.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.skew import stage
-from .common import LOWER, arrow_map, send
+from .common import BATCH_ROWS, LOWER, arrow_map, send
 from .components import connected_components
 
 U = np.uint64
@@ -53,6 +55,9 @@ class Settings:
     most_common: int = 50_000  # bound of the list of common signatures
     common: int = 200  # sets that share a common signature
     flush: int = 2_000_000
+    most_bits: int = 4096  # of the parities that travel with each signature; a power of 2, 256 at least
+    block: int = 1024  # sets that are compared with as many others at once
+    pairs: int = 100_000  # compared in one step of a task
 
     def most_different(self, both: int) -> int:
         return (100 - self.percent) * both // (100 + self.percent)
@@ -120,9 +125,9 @@ def set_key(shingles: np.ndarray) -> int:
     return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes()))))
 
 
-def parities(shingles: np.ndarray) -> bytes:
-    """The parity of the number of shingles in each of 2^b hash ranges, two to four per shingle."""
-    b = max(8, (2 * len(shingles) - 1).bit_length())
+def parities(shingles: np.ndarray, most_bits: int = 1 << 40) -> bytes:
+    """The parity of the number of shingles in each of 2^b hash ranges, two to four per shingle, at most ``most_bits``."""
+    b = min(max(8, (2 * len(shingles) - 1).bit_length()), most_bits.bit_length() - 1)
     return np.packbits(np.bincount((shingles >> U(64 - b)).astype(np.int64), minlength=1 << b) & 1).tobytes()
 
 
@@ -187,6 +192,7 @@ FACT_FIELDS = [
     T.StructField("n_shingles", T.LongType()),
     T.StructField("key", T.LongType()),
     T.StructField("parity", T.BinaryType()),
+    T.StructField("sketch", T.BinaryType()),
     T.StructField("sig", T.LongType()),
     T.StructField("seen", T.LongType()),
 ]
@@ -207,7 +213,7 @@ def facts(docs: DataFrame, s: Settings) -> DataFrame:
         def counted(ids_type):
             values, seen = np.unique(np.concatenate(held), return_counts=True)
             values, seen = values[seen > 3].view(np.int64), seen[seen > 3]
-            none = [pa.nulls(len(values), t) for t in (ids_type, pa.int64(), pa.int64(), pa.binary())]
+            none = [pa.nulls(len(values), t) for t in (ids_type, pa.int64(), pa.int64(), pa.binary(), pa.binary())]
             return pa.RecordBatch.from_arrays([*none, pa.array(values), pa.array(seen, pa.int64())], names)
 
         kind = None
@@ -219,8 +225,9 @@ def facts(docs: DataFrame, s: Settings) -> DataFrame:
             fresh = np.array([k is not None and k not in met for k in keys])
             met.update(keys)
             none = [pa.nulls(len(ids), pa.int64())] * 2
-            parity = pa.array([parities(x) if len(x) else None for x in sets], pa.binary())
-            made = [pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), parity]
+            long = [parities(x) if 2 * len(x) > s.most_bits else None for x in sets]
+            short = [parities(x, s.most_bits) if len(x) else None for x in sets]
+            made = [pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(long, pa.binary()), pa.array(short, pa.binary())]
             yield pa.RecordBatch.from_arrays([ids, *made, *none], names)
             for found, of, _ in signatures(shingles, sizes, s):
                 held.append(found[fresh[of]])
@@ -244,7 +251,11 @@ def common_signatures(rows: DataFrame, s: Settings) -> np.ndarray:
 
 
 def memberships(docs: DataFrame, common: np.ndarray, s: Settings) -> DataFrame:
-    """(sig, key) of the signatures that at least two sets share."""
+    """(sig, key) of the signatures that at least two sets share.
+
+    Signatures that the same sets share become one: a hash of these sets. Should
+    two hashes be equal, their groups are compared as one.
+    """
     sent = send(docs.sparkSession, common)
     schema = "sig long, key long, common boolean"
 
@@ -275,19 +286,23 @@ def memberships(docs: DataFrame, common: np.ndarray, s: Settings) -> DataFrame:
             yield from some(sig[:open_at], key[:open_at], late[:open_at])
             tail = sig[open_at:], key[open_at:], late[open_at:]
             if len(tail[0]) > 1 and tail[1][0] != tail[1][-1]:
-                yield from some(*tail)
+                yield from some(*tail, whole=False)
                 tail = tail[0][-1:], tail[1][-1:], np.ones(1, bool)  # known to be shared; its last key comes again
         if tail is not None:
             yield from some(*tail)
 
-    def some(sig, key, late):
+    def some(sig, key, late, whole=True):
         if not len(sig):
             return
         new = np.append(True, (sig[1:] != sig[:-1]) | (key[1:] != key[:-1]))
         sig, key, late = sig[new], key[new], late[new]
         first = np.append(True, sig[1:] != sig[:-1])
         group = np.cumsum(first) - 1
-        wanted = (np.bincount(group) > 1)[group] | late
+        sizes = np.bincount(group)
+        wanted = (sizes > 1)[group] | late
+        if whole:
+            of_sets = mix(np.add.reduceat(mix(key.view(U) + FACTORS[3]), np.flatnonzero(first)) + FACTORS[4] * sizes.astype(U))
+            sig = np.where(np.bincount(group, late)[group] > 0, sig, of_sets.view(np.int64)[group])
         if wanted.any():
             yield pa.RecordBatch.from_arrays([pa.array(sig[wanted]), pa.array(key[wanted])], ["sig", "key"])
 
@@ -299,8 +314,8 @@ def memberships(docs: DataFrame, common: np.ndarray, s: Settings) -> DataFrame:
 
 
 def candidate_sets(docs: DataFrame, names: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
-    """(key, shingles) of the sets in ``wanted`` (``key``), each from the document that ``names`` gives."""
-    ids = stage(names.join(wanted, "key", "left_semi").select("doc_id"))
+    """(key, shingles) of the sets in ``wanted`` (``key``), each from a document that ``names`` gives, or from one without id."""
+    known = stage(names.join(wanted, "key", "left_semi"))
 
     def work(batches):
         hashes = WordHashes()
@@ -309,8 +324,130 @@ def candidate_sets(docs: DataFrame, names: DataFrame, wanted: DataFrame, s: Sett
             made = [pa.array([set_key(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())]
             yield pa.RecordBatch.from_arrays(made, ["key", "shingles"])
 
-    texts = docs.select("doc_id", "text").filter("text IS NOT NULL").join(ids, "doc_id", "left_semi").select("text")
-    return arrow_map(texts, work, "key long, shingles binary")
+    texts = docs.select("doc_id", "text").filter("text IS NOT NULL")
+    taken = texts.join(known.filter("doc_id IS NOT NULL").select("doc_id"), "doc_id", "left_semi")
+    nameless = known.filter("doc_id IS NULL")
+    if not nameless.isEmpty():
+        taken = taken.union(texts.filter("doc_id IS NULL"))
+    # A doc_id may stand for several texts, and rows without id come with all their sets.
+    return arrow_map(taken.select("text"), work, "key long, shingles binary").join(known, "key", "left_semi").dropDuplicates(["key"])
+
+
+def folded(sketches: np.ndarray) -> np.ndarray:
+    """The parities (rows of bytes) of half as many ranges."""
+    bits = np.unpackbits(sketches, axis=1).reshape(len(sketches), -1, 2)
+    return np.packbits(bits[:, :, 0] ^ bits[:, :, 1], axis=1)
+
+
+class Sketches:
+    """Parities of some sets, at their own width and at half of it."""
+
+    def __init__(self, sketches: list[bytes]) -> None:
+        self.width = np.array([len(v) for v in sketches], np.int64)
+        self.place = np.zeros(len(sketches), np.int64)
+        self.rows: dict[tuple[int, int], np.ndarray] = {}
+        for width in np.unique(self.width).tolist():
+            of = np.flatnonzero(self.width == width)
+            self.place[of] = np.arange(len(of))
+            full = np.frombuffer(b"".join([sketches[i] for i in of.tolist()]), np.uint8).reshape(-1, width)
+            self.rows[width, width] = full.view(U)
+            self.rows[width, width // 2] = folded(full).view(U)
+
+    def distances(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """``parity_distance`` of pairs of places whose widths are equal or one twice the other."""
+        found = np.zeros(len(x), np.int64)
+        wide = self.width[x] * (1 << 32) + self.width[y]
+        for both in np.unique(wide).tolist():
+            of = np.flatnonzero(wide == both)
+            a, b = both >> 32, both & 0xFFFFFFFF
+            least = min(a, b)
+            one = self.rows[a, least][self.place[x[of]]]
+            two = self.rows[b, least][self.place[y[of]]]
+            found[of] = np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64)
+        return found
+
+
+def candidates(active: DataFrame, sketches: DataFrame, s: Settings, way: str) -> DataFrame:
+    """(a, b, wide): pairs of sets of one group and different labels that the parities allow.
+
+    ``active`` holds (sig, key, label, top, outside, n). With ``way`` "first" a
+    few sets of each group meet all others and each set takes the nearest it
+    meets; with "nearest" each set outside of its group's largest label takes the
+    nearest set of another label; "all" gives all pairs. Groups are compared in
+    blocks of a fixed number of sets, without a row per pair. ``wide`` pairs are
+    of long sets, whose parities are cut to ``most_bits``.
+    """
+    at, blocks = F.xxhash64(F.lit(7), "key"), lambda n: F.ceil(F.col(n) / F.lit(s.block)).cast("int")
+    if way == "first":
+        # The same sets lead in all groups that they are in.
+        leads = active.filter(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / float(1 << 30) * F.col("n") < 3.0)
+        n_out = F.lit(1)
+    else:
+        leads = active.filter("label <> top")
+        n_out = F.greatest(blocks("outside"), F.lit(1))
+    n_in = blocks("n")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    x = leads.select("sig", "key", "label", F.pmod(at, n_out).cast("int").alias("i"), every(n_in).alias("j"), F.lit(True).alias("leads"))
+    y = active.select("sig", "key", "label", every(n_out).alias("i"), F.pmod(at, n_in).cast("int").alias("j"), F.lit(False).alias("leads"))
+    rows = x.union(y).join(sketches, "key").select("sig", "i", "j", "leads", "key", "label", "n_shingles", "cut", "sketch")
+
+    def work(batches):
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= 4 * BATCH_ROWS:
+                table = pa.Table.from_batches(held).combine_chunks()
+                cell = cells(table)
+                end = int(np.searchsorted(cell, cell[-1])) if len(cell) else 0
+                if end:
+                    yield from compare(table.slice(0, end), cell[:end])
+                    held = table.slice(end).combine_chunks().to_batches()
+        if held:
+            table = pa.Table.from_batches(held).combine_chunks()
+            yield from compare(table, cells(table))
+
+    def cells(table):
+        """Numbers of the cells (sig, i, j) in the order of the rows."""
+        sig, i, j = (table.column(c).to_numpy() for c in range(3))
+        new = (sig[1:] != sig[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        return np.cumsum(np.append(0, new)) if len(sig) else np.empty(0, np.int64)
+
+    def compare(table, cell):
+        if not table.num_rows:
+            return
+        leads, key, label, size, cut = (table.column(c).to_numpy() for c in range(3, 8))
+        known = Sketches(table.column(8).to_pylist())
+        x, y = np.flatnonzero(leads), np.flatnonzero(~leads)
+        first, last = np.searchsorted(cell[y], cell[x], "left"), np.searchsorted(cell[y], cell[x], "right")
+        done = np.append(0, np.cumsum(last - first))
+        begin = 0
+        while begin < len(x):
+            end = max(begin + 1, int(np.searchsorted(done, done[begin] + s.pairs, "right")) - 1)
+            n = (last - first)[begin:end]
+            px = np.repeat(x[begin:end], n)
+            py = y[np.repeat(first[begin:end] - (done[begin:end] - done[begin]), n) + np.arange(len(px))]
+            begin = end
+            both, least = size[px] + size[py], np.minimum(size[px], size[py])
+            ok = (label[px] != label[py]) & (100 * least >= s.percent * (both - least))
+            px, py, both = px[ok], py[ok], both[ok]
+            distance, most = known.distances(px, py), (100 - s.percent) * both // (100 + s.percent)
+            ok = distance <= most
+            px, py, share = px[ok], py[ok], distance[ok] / np.maximum(most[ok], 1)
+            if way == "first":
+                px, py = py, px
+            if way != "all" and len(px):
+                order = np.lexsort((key[py], share, key[px]))
+                order = order[np.append(True, np.diff(key[px][order]) != 0)]
+                px, py, share = px[order], py[order], share[order]
+            if len(px):
+                made = [key[px], key[py], cut[px] & cut[py], share]
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in made], ["node", "other", "wide", "share"])
+
+    dealt = rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+    met = arrow_map(dealt, work, "node long, other long, wide boolean, share double")
+    if way != "all":
+        met = met.groupBy("node").agg(F.min(F.struct("share", "other", "wide")).alias("m")).select("node", "m.other", "m.wide")
+    return met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"), "wide").distinct()
 
 
 def pair_filter(pairs: DataFrame, values: DataFrame, column: str, test) -> DataFrame:
@@ -326,75 +463,77 @@ def pair_filter(pairs: DataFrame, values: DataFrame, column: str, test) -> DataF
     return arrow_map(joined, work, "a long, b long")
 
 
-def links(docs: DataFrame, rows: DataFrame, s: Settings) -> DataFrame | None:
-    """(a, b) links between different sets that join all similar sets; None when there are none."""
-    spark = docs.sparkSession
+def set_components(docs: DataFrame, rows: DataFrame, s: Settings) -> DataFrame | None:
+    """(key, label) of the sets that are similar to others, by what links reach; None when there are none."""
     members = stage(memberships(docs, common_signatures(rows, s), s))
     if members.isEmpty():
         return None
     wanted = stage(members.select("key").distinct())
-    sketches = rows.filter("sig IS NULL AND key IS NOT NULL").select("key", F.struct("n_shingles", "parity").alias("sketch"))
-    sketches = stage(sketches.join(wanted, "key", "left_semi").dropDuplicates(["key"]))
-    names = rows.filter("sig IS NULL AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    names = stage(names.join(wanted, "key", "left_semi"))
+    facts_of = rows.filter("sig IS NULL AND key IS NOT NULL").join(wanted, "key", "left_semi")
+    facts_of = facts_of.groupBy("key").agg(
+        F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("parity").alias("parity"), F.max("sketch").alias("sketch")
+    )
+    facts_of = stage(facts_of)
+    names = facts_of.select("key", "doc_id")
+    sketches = facts_of.select("key", "n_shingles", F.expr("parity IS NOT NULL").alias("cut"), "sketch")
+    parities_of = facts_of.filter("parity IS NOT NULL").select("key", F.struct("n_shingles", "parity").alias("sketch"))
 
     def near(x, y):
-        both, least = x["n_shingles"] + y["n_shingles"], min(x["n_shingles"], y["n_shingles"])
-        if 100 * least < s.percent * (both - least):
-            return False
-        return parity_distance(x["parity"], y["parity"]) <= s.most_different(both)
+        return parity_distance(x["parity"], y["parity"]) <= s.most_different(x["n_shingles"] + y["n_shingles"])
 
     def similar(x, y):
         x, y = np.frombuffer(x, U), np.frombuffer(y, U)
         common = len(np.intersect1d(x, y, assume_unique=True))
         return 100 * common >= s.percent * (len(x) + len(y) - common)
 
+    def confirmed(pairs):
+        """The pairs whose full sets are similar."""
+        wide = pairs.filter("wide").select("a", "b")
+        close = pairs.filter("NOT wide").select("a", "b")
+        if not wide.isEmpty():
+            close = stage(close.union(pair_filter(wide, parities_of, "sketch", near)))
+        both = close.select(F.col("a").alias("key")).union(close.select(F.col("b").alias("key"))).distinct()
+        return stage(pair_filter(close, stage(candidate_sets(docs, names, both, s)), "shingles", similar))
+
     found: DataFrame | None = None
     labels: DataFrame | None = None
-    tested: DataFrame | None = None
-    for number in range(64):
+    way = "first"
+    while True:
         if labels is None:
             known = members.withColumn("label", F.col("key"))
         else:
-            known = members.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-        known = stage(known)
-        parts = known.groupBy("sig", "label").agg(F.count("*").alias("n"))
-        groups = stage(
-            parts.groupBy("sig")
+            known = stage(members.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key")))
+        groups = (
+            known.groupBy("sig", "label")
+            .agg(F.count("*").alias("m"))
+            .groupBy("sig")
             .agg(
-                F.max_by("label", F.struct("n", "label")).alias("top"),
-                (F.sum("n") - F.max("n")).alias("outside"),
-                F.count("*").alias("labels"),
+                F.max_by("label", F.struct("m", "label")).alias("top"),
+                (F.sum("m") - F.max("m")).alias("outside"),
+                F.sum("m").alias("n"),
             )
-            .filter("labels > 1")
+            .filter("outside > 0")
         )
-        if groups.isEmpty():
-            break
         active = stage(known.join(groups, "sig"))
-        # First a few sets of each group, which joins most of them. Then a set leads in all groups at once that
-        # it is outside of, so that a pair is met in few rounds.
-        outside = active.filter(F.col("label") != F.col("top"))
-        of = ["key", "sig"] if number == 0 else ["key"]
-        place = F.pmod(F.xxhash64(*of), F.lit(1 << 30)) / float(1 << 30) * F.col("outside")
-        leading = outside.groupBy(*of).agg(F.max(place).alias("place")).filter(F.col("place") < 2.0 * 4**number)
-        leads = stage(
-            outside.join(stage(leading.select(*of)), of, "left_semi").select("sig", F.col("key").alias("x"), F.col("label").alias("xl"))
-        )
-        met = leads.join(active.select("sig", "key", "label"), "sig").filter("xl <> label")
-        pairs = met.select(F.least("x", "key").alias("a"), F.greatest("x", "key").alias("b")).distinct()
-        pairs = stage(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
-        tested = pairs if tested is None else tested.union(pairs)
-        close = stage(pair_filter(pairs, sketches, "sketch", near))
-        if not close.isEmpty():
-            both = close.select(F.col("a").alias("key")).union(close.select(F.col("b").alias("key"))).distinct()
-            sets = stage(candidate_sets(docs, names, stage(both), s))
-            new = pair_filter(close, sets, "shingles", similar)
-            found = stage(new if found is None else found.union(new))
+        if active.isEmpty():
+            break
+        pairs = stage(candidates(active, sketches, s, way))
+        if pairs.isEmpty():
+            if way == "first":
+                way = "nearest"
+                continue
+            break  # no pair is left that the parities allow
+        new = confirmed(pairs)
+        any_new = not new.isEmpty()
+        if any_new:
+            found = new if found is None else stage(found.union(new))
             labels = stage(connected_components(found).withColumnsRenamed({"node": "key", "component": "label"}))
-        members = stage(
-            active.join(leads.select("sig", F.col("x").alias("key")), ["sig", "key"], "left_anti").select("sig", "key")
-        )
-    return found
+        if way == "all":
+            break
+        # Once no nearest set is similar, what the parities still allow is compared pair by pair.
+        way = "nearest" if any_new or way == "first" else "all"
+        members = active.select("sig", "key")
+    return labels
 
 
 def jaccard_components(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
@@ -407,13 +546,12 @@ def jaccard_components(docs: DataFrame, settings: Settings | None = None) -> Dat
     """
     s = settings or Settings()
     rows = stage(facts(docs, s))
-    found = links(docs, rows, s)
+    labels = set_components(docs, rows, s)
     sets = rows.filter("sig IS NULL")
     smallest = sets.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first"))
-    if found is None or found.isEmpty():
+    if labels is None:
         of_set = smallest.withColumn("component_id", F.col("first"))
     else:
-        labels = stage(connected_components(found).withColumnsRenamed({"node": "key", "component": "label"}))
         labelled = stage(smallest.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key")))
         first_of = stage(labelled.groupBy("label").agg(F.min("first").alias("component_id")))
         of_set = labelled.join(first_of, "label")
