@@ -295,3 +295,22 @@ def test_toxicity_counts_copies_once_and_keeps_clashing_columns(spark):
     assert kept.columns == clash.columns
     plain = remove_toxic(docs(spark, [*rows, rows[0], rows[1], (None, None)]), once)
     assert sorted(r["doc_id"] or -1 for r in kept.collect()) == sorted(r["doc_id"] or -1 for r in plain.collect())
+
+
+def test_words_of_a_layout_or_a_subject_drop_no_article():
+    text = "The text of the article goes on for a while."
+    for page in (
+        f'<div class="layout has-sidebar"><article>{text}</article><div class="sidebar">More</div></div>',
+        f'<article class="post legal">{text}</article>',
+        f'<div id="page-with-header"><div class="header">Top</div><main>{text}</main></div>',
+        f'<article><div class="social-science">{text}</div><div class="share">Pass it on</div></article>',
+        f'<svg/><article>{text}<math /></article>',
+        f'<article>{text}</article><div class="comments"><article class="comment">First!</article></div><!-- open',
+        f'<article>{text}</article><!-- open <b>',
+    ):
+        assert main_text(page, frozenset()) == text
+    assert main_text(f'<div>{text}</div><div class="comments"><article class="comment">First!</article></div>', frozenset()) == text
+
+
+def test_tags_that_never_end_take_linear_time():
+    assert main_text("<p>x</p>" + "<a " * 400_000, frozenset()).startswith("x")
