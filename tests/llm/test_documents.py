@@ -90,6 +90,36 @@ def test_components_match_all_pairs(spark):
     assert jaccard_components(docs(spark, [])).count() == 0
 
 
+def test_components_of_a_cluster_around_the_threshold(spark):
+    """Copies of one text with up to a third of it changed, in blocks of a few sets; a row without id links two others."""
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for i in range(70):
+        at = rng.randrange(100)
+        size = rng.randrange(1, 40)
+        rows.append((i, " ".join([*base[:at], *(f"n{i}x{j}" for j in range(size)), *base[at + size :]])))
+    middle = [f"m{i}" for i in range(60)]
+    bridge = [(100, " ".join([*middle, *(f"p{i}" for i in range(9))])), (None, " ".join(middle)), (101, " ".join([*(f"q{i}" for i in range(9)), *middle]))]
+    s = Settings(common=3, block=8, pairs=50)
+    found = {r["doc_id"]: r["component_id"] for r in jaccard_components(docs(spark, [*rows, *bridge]), s).collect()}
+    expected = {i: c for i, (_, c) in components(rows).items()}
+    assert len(set(expected.values())) > 5
+    assert found == {**expected, 100: 100, None: 100, 101: 100}
+
+
+def test_sketch_distances_are_those_of_the_parities():
+    import numpy as np
+
+    from creditlake.llm.jaccard import Sketches, parities, parity_distance
+
+    rng = np.random.default_rng(1)
+    made = [parities(np.sort(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)), 4096) for n in (3, 120, 129, 150, 1000, 1100, 2048, 2500)]
+    pairs = [(0, 1), (1, 2), (2, 3), (4, 5), (5, 4), (6, 7), (7, 7), (2, 1)]
+    got = Sketches(made).distances(*np.array(pairs).T)
+    assert got.tolist() == [parity_distance(made[a], made[b]) for a, b in pairs]
+
+
 def test_signatures_meet_for_every_similar_pair():
     """The guarantee itself, without Spark: pairs at the threshold share one of their chosen signatures."""
     import numpy as np
