@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.skew import stage
-from .common import BATCH_ROWS, LOWER, arrow_map, send
-from .components import connected_components
+from .common import BATCH_ROWS, LOWER, arrow_map, may_match, send
+from .components import joined_components
 
 U = np.uint64
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], U)
@@ -325,7 +325,9 @@ def candidate_sets(docs: DataFrame, names: DataFrame, wanted: DataFrame, s: Sett
             yield pa.RecordBatch.from_arrays(made, ["key", "shingles"])
 
     texts = docs.select("doc_id", "text").filter("text IS NOT NULL")
-    taken = texts.join(known.filter("doc_id IS NOT NULL").select("doc_id"), "doc_id", "left_semi")
+    named = known.filter("doc_id IS NOT NULL").select("doc_id")
+    perhaps = may_match(named, F.xxhash64("doc_id"))(F.xxhash64("doc_id"))
+    taken = texts.filter(perhaps).join(named, "doc_id", "left_semi")
     nameless = known.filter("doc_id IS NULL")
     if not nameless.isEmpty():
         taken = taken.union(texts.filter("doc_id IS NULL"))
@@ -495,14 +497,14 @@ def set_components(docs: DataFrame, rows: DataFrame, s: Settings) -> DataFrame |
         both = close.select(F.col("a").alias("key")).union(close.select(F.col("b").alias("key"))).distinct()
         return stage(pair_filter(close, stage(candidate_sets(docs, names, both, s)), "shingles", similar))
 
-    found: DataFrame | None = None
     labels: DataFrame | None = None
     way = "first"
     while True:
         if labels is None:
             known = members.withColumn("label", F.col("key"))
         else:
-            known = stage(members.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key")))
+            of_keys = labels.toDF("key", "label")
+            known = stage(members.join(of_keys, "key", "left").withColumn("label", F.coalesce("label", "key")))
         groups = (
             known.groupBy("sig", "label")
             .agg(F.count("*").alias("m"))
@@ -526,14 +528,13 @@ def set_components(docs: DataFrame, rows: DataFrame, s: Settings) -> DataFrame |
         new = confirmed(pairs)
         any_new = not new.isEmpty()
         if any_new:
-            found = new if found is None else stage(found.union(new))
-            labels = stage(connected_components(found).withColumnsRenamed({"node": "key", "component": "label"}))
+            labels = joined_components(labels, new)
         if way == "all":
             break
         # Once no nearest set is similar, what the parities still allow is compared pair by pair.
         way = "nearest" if any_new or way == "first" else "all"
         members = active.select("sig", "key")
-    return labels
+    return None if labels is None else labels.toDF("key", "label")
 
 
 def jaccard_components(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
@@ -571,4 +572,7 @@ def one_of_each_group(docs: DataFrame, settings: Settings | None = None) -> Data
     """
     found = jaccard_components(docs, settings)
     gone = stage(found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("component_id").alias("c")).filter("c <> doc_id"))
-    return docs.join(gone.select("doc_id"), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    perhaps = may_match(gone, F.xxhash64("doc_id"))(F.xxhash64("doc_id"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rest = docs.filter(perhaps).join(gone.select("doc_id"), "doc_id", "left_anti")
+    return docs.filter(~perhaps).select(*columns).union(rest.select(*columns))
