@@ -7,8 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from creditlake.operators.keys import first_per_key
+from creditlake.operators.quality import constraint_tests
 from creditlake.operators.rules import RuleSet, accept, check, explain_rows
 from creditlake.operators.skew import lookup_join, stage
+from creditlake.plans.gold import GoldPlan
+from creditlake.plans.queries import _TESTED, _TESTED_SILVER
 from creditlake.plans.silver import RULES, SilverPlan
 from creditlake.sources.tpch import LINE_ORDER, TpchExtracts
 
@@ -139,3 +142,42 @@ def test_plans_without_raw_values(spark):
     every = SilverPlan({"products": raw}, staged=True, columns={})
     assert every.table("products").columns == SilverPlan({"products": raw}).table("products").columns
     assert every.table("products").collect() == SilverPlan({"products": raw}).table("products").collect()
+
+
+def test_constraint_tests_make_only_what_they_test(spark):
+    """The same figures as over whole gold tables, without the silver rows that only sums need."""
+    text = lambda rows, *names: spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
+    money = lambda rows, *names: rows.withColumns({n: F.col(n).cast("decimal(18,2)") for n in names})
+    silver = {
+        "branches": text([("B1", "Main", "East")], "branch_id", "branch_name", "region"),
+        "products": text([("P1", "One", "loan", "5"), ("P2", "Two", "loan", None)], "product_id", "product_name", "product_type", "base_rate"),
+        "customers": money(
+            text([(f"C{i}", "A", "B", "F", "B1", "2024-01-01", "900") for i in range(4)],
+                 "customer_id", "first_name", "last_name", "gender", "branch_id", "signup_date", "monthly_income"),
+            "monthly_income",
+        ).withColumn("signup_date", F.col("signup_date").cast("date")),
+        "loans": money(
+            text([(f"L{i}", f"C{i % 5}", f"P{i % 3}", "B1", "2024-02-01", "100", "5", "12", ("ACTIVE", "CLOSED")[i % 2]) for i in range(20)],
+                 "loan_id", "customer_id", "product_id", "branch_id", "disbursement_date", "loan_amount", "interest_rate", "term_months", "loan_status"),
+            "loan_amount",
+        ).withColumn("disbursement_date", F.col("disbursement_date").cast("date")),
+        "repayments": money(text([("R1", "L1", "10"), ("R2", "L1", "5")], "repayment_id", "loan_id", "amount_paid"), "amount_paid"),
+        "collections": money(text([("K1", "L2", "3")], "collection_id", "loan_id", "amount_recovered"), "amount_recovered"),
+    }
+    asked = set()
+
+    def used(table):
+        asked.add(table)
+        key = {"branches": "branch_id", "products": "product_id", "customers": "customer_id", "loans": "loan_id"}[table]
+        return silver[table].select(key, *[c for c in _TESTED_SILVER[table] if c != key])
+
+    whole = GoldPlan(silver.__getitem__, staged=True)
+    short = GoldPlan(used, staged=True, columns=_TESTED)
+    rows = lambda gold: Counter(map(tuple, constraint_tests(gold.table).collect()))
+    assert rows(short) == rows(whole) and len(rows(whole)) == 18
+    assert asked == {"branches", "products", "customers", "loans"}
+    for table, columns in _TESTED.items():
+        status = ["loan_status"] if table == "dim_loan_status" else []  # numbered by it
+        assert sorted(short.table(table).columns) == sorted([*columns, *status])
+        assert Counter(short.table(table).collect()) == Counter(whole.table(table).select(*short.table(table).columns).collect())
+    assert short.table("fact_loan_disbursement").count() > 0
