@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.skew import stage
-from .common import BATCH_ROWS, LOWER, arrow_map, may_match, send
+from .common import BATCH_ROWS, LOWER, MAP_BITS, arrow_map, bit_map, in_map, may_match, send
 from .components import joined_components
 
 U = np.uint64
@@ -316,23 +316,23 @@ def memberships(docs: DataFrame, common: np.ndarray, s: Settings) -> DataFrame:
 def candidate_sets(docs: DataFrame, names: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
     """(key, shingles) of the sets in ``wanted`` (``key``), each from a document that ``names`` gives, or from one without id."""
     known = stage(names.join(wanted, "key", "left_semi"))
+    place = F.xxhash64("doc_id")
+    # One map of the ids and the keys; a null id is a value of it like others.
+    held = send(docs.sparkSession, bit_map(known.select(F.explode(F.array(place, "key")).alias("key")), MAP_BITS))
 
     def work(batches):
-        hashes = WordHashes()
+        hashes, bits = WordHashes(), held()
         for batch in batches:
-            sets = parts_of(*shingle_sets(batch.column(0).cast(pa.binary()).to_pylist(), hashes, s.shingle))
-            made = [pa.array([set_key(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())]
+            texts = batch.column(0).filter(pa.array(in_map(bits, batch.column(1).to_numpy())))
+            sets = parts_of(*shingle_sets(texts.cast(pa.binary()).to_pylist(), hashes, s.shingle))
+            keys = np.array([set_key(x) for x in sets], np.int64)
+            chosen = np.flatnonzero(in_map(bits, keys)).tolist()
+            made = [pa.array(keys[chosen]), pa.array([sets[i].tobytes() for i in chosen], pa.binary())]
             yield pa.RecordBatch.from_arrays(made, ["key", "shingles"])
 
-    texts = docs.select("doc_id", "text").filter("text IS NOT NULL")
-    named = known.filter("doc_id IS NOT NULL").select("doc_id")
-    perhaps = may_match(named, F.xxhash64("doc_id"))(F.xxhash64("doc_id"))
-    taken = texts.filter(perhaps).join(named, "doc_id", "left_semi")
-    nameless = known.filter("doc_id IS NULL")
-    if not nameless.isEmpty():
-        taken = taken.union(texts.filter("doc_id IS NULL"))
+    texts = docs.filter("text IS NOT NULL").select("text", place)
     # A doc_id may stand for several texts, and rows without id come with all their sets.
-    return arrow_map(taken.select("text"), work, "key long, shingles binary").join(known, "key", "left_semi").dropDuplicates(["key"])
+    return arrow_map(texts, work, "key long, shingles binary").join(known, "key", "left_semi").dropDuplicates(["key"])
 
 
 def folded(sketches: np.ndarray) -> np.ndarray:
