@@ -26,8 +26,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.skew import stage
-from .common import may_match, unused
+from ..operators.skew import mark_possible, stage
+from .common import unused
 
 # Kind and pattern. They match as the plain patterns do; a look
 # behind and possessive quantifiers keep them linear on long runs of characters.
@@ -272,13 +272,13 @@ def redact(docs: DataFrame, settings: Bootstrap | None = None) -> DataFrame:
     hits = hits.join(more, ["row_a", "row_b"], "full").select(
         "row_a", "row_b", F.array_sort(F.concat(F.coalesce("base", none), F.coalesce("more", none))).alias("all")
     )
-    a, b, every = unused(docs.columns, "_row_a", "_row_b", "_spans")
+    a, b, every, possible, at, word = unused(docs.columns, "_row_a", "_row_b", "_spans", "_possible", "_at", "_word")
     hits = stage(hits.dropDuplicates(["row_a", "row_b"]).toDF(a, b, every))
     body = F.coalesce("text", F.lit(""))
     named = docs.withColumn(a, F.xxhash64(F.col("doc_id"), body)).withColumn(b, F.xxhash64(F.lit(1), body, F.col("doc_id")))
     # Most rows have no span: they are not shuffled.
-    perhaps = may_match(hits, F.col(a))(F.col(a))
-    out = named.filter(perhaps).join(hits, [a, b], "left")
+    named = mark_possible(named, hits.select(F.col(a).alias("key")), F.col(a), possible, at, word)
+    out = named.filter(F.col(possible)).join(hits, [a, b], "left")
     (clean,) = unused(out.columns, "_clean")
     out = out.withColumn(clean, F.when(F.col(every).isNotNull(), redacted(F.col("text"), F.col(every))).otherwise(F.col("text")))
     kept = []
@@ -290,4 +290,4 @@ def redact(docs: DataFrame, settings: Bootstrap | None = None) -> DataFrame:
             kept.append(F.when(F.col(every).isNotNull(), changed).otherwise(F.col("n_chars")).alias("n_chars"))
         else:
             kept.append(F.col(f"`{c}`"))
-    return named.filter(~perhaps).select(*[F.col(f"`{c}`") for c in docs.columns]).union(out.select(*kept))
+    return named.filter(~F.col(possible)).select(*[F.col(f"`{c}`") for c in docs.columns]).union(out.select(*kept))

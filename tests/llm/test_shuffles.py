@@ -12,6 +12,7 @@ from creditlake.llm.components import connected_components, joined_components
 from creditlake.llm.jaccard import one_of_each_group
 from creditlake.llm.pii import redact
 from creditlake.llm.toxicity import fit, remove_toxic, with_score
+from creditlake.operators.skew import mark_possible
 
 
 def unshuffled_part(df):
@@ -93,3 +94,25 @@ def test_a_batch_is_contracted_to_its_smallest_nodes():
 
     found = forest(pa.table({"u": [5, 9, 4, 8], "v": [3, 5, 2, 8]}))
     assert dict(zip(found.column(0).to_pylist(), found.column(1).to_pylist())) == {5: 3, 3: 3, 9: 3, 4: 2, 2: 2, 8: 8}
+
+
+def test_personal_data_runs_no_python(spark):
+    """Texts are masked by Column expressions and joins alone; further columns may have any name."""
+    mail = [(1, "write a@b.com now"), (1, "write a@b.com now"), (2, "nothing here"), (3, None), (None, "call +1 202 555 0143 9 now")]
+    table = docs(spark, mail).withColumns({"_possible": F.lit("x"), "_at": F.lit("y"), "_Word": F.lit("z")})
+    masked = redact(table)
+    plan = spark._jvm.PythonSQLUtils.explainString(masked._jdf.queryExecution(), "simple")
+    assert "Python" not in plan and "InArrow" not in plan and "Union" in plan
+    assert masked.columns == table.columns
+    found = sorted((str(r["doc_id"]), str(r["text"]), r["_possible"], r["_at"], r["_Word"]) for r in masked.collect())
+    texts = [("1", "write [EMAIL] now")] * 2 + [("2", "nothing here"), ("3", "None"), ("None", "call [PHONE] now")]
+    assert found == [(*t, "x", "y", "z") for t in texts]
+
+
+def test_no_row_that_may_match_is_missed(spark):
+    keys = spark.range(0, 4000, 20).select(F.xxhash64("id").alias("key"))
+    marked = mark_possible(spark.range(4000), keys, F.xxhash64("id"))
+    assert marked.columns == ["id", "_possible"] and marked.count() == 4000
+    found = {r["id"] for r in marked.filter("_possible").collect()}
+    assert found >= set(range(0, 4000, 20)) and len(found) < 220
+    assert mark_possible(spark.range(10), keys.limit(0), F.xxhash64("id")).filter("_possible").count() == 0
