@@ -8,11 +8,22 @@ from pyspark.sql import functions as F
 
 from creditlake.operators.keys import first_per_key
 from creditlake.operators.quality import constraint_tests
-from creditlake.operators.rules import RuleSet, accept, check, explain_rows
+from creditlake.operators.rules import (
+    RuleSet,
+    accept,
+    accept_checked,
+    accept_unshuffled,
+    check,
+    count_rejected,
+    explain_rows,
+    reject,
+    repeated_keys,
+)
 from creditlake.operators.skew import lookup_join, stage
 from creditlake.plans.gold import GoldPlan
 from creditlake.plans.queries import _TESTED, _TESTED_SILVER
 from creditlake.plans.silver import RULES, SilverPlan
+from creditlake.sources.io import read_csv, write_csv
 from creditlake.sources.tpch import LINE_ORDER, TpchExtracts
 
 LINE = (
@@ -181,3 +192,41 @@ def test_constraint_tests_make_only_what_they_test(spark):
         assert sorted(short.table(table).columns) == sorted([*columns, *status])
         assert Counter(short.table(table).collect()) == Counter(whole.table(table).select(*short.table(table).columns).collect())
     assert short.table("fact_loan_disbursement").count() > 0
+
+
+def rows_of(df):
+    return Counter(tuple(str(v) for v in r) for r in df.collect())
+
+
+def test_only_rows_of_repeated_keys_are_shuffled(spark):
+    """Accepted and rejected rows are those of the plain forms, without a shuffle of rows whose key comes once."""
+    parents = {"parents": spark.createDataFrame([("P",)], "parent string")}
+    checked = stage(check(things(spark), RULE, parents))
+    firsts = stage(repeated_keys(checked))
+    assert sorted(r["_key"] for r in firsts.collect()) == ["A", "B"]
+    accepted, rejected = accept_unshuffled(checked, firsts), reject(checked, RULE, staged=True)
+    assert rows_of(accepted) == rows_of(accept_checked(checked)) and accepted.count() == 3
+    plain = explain_rows(checked, RULE).filter("error_reason != ''")
+    assert rejected.columns == plain.columns and rows_of(rejected) == rows_of(plain) and rejected.count() == 6
+    for found in (accepted, rejected):
+        plan = executed(found)
+        assert "Union" in plan and "Exchange" not in plan[plan.index("Union") :].split("FileScan")[0]
+    [counted] = count_rejected(checked).collect()
+    assert counted["rejected"] == 6 and count_rejected(checked.limit(0)).first()["rejected"] == 0
+
+
+def test_keys_alone_need_no_order(spark):
+    parents = {"parents": spark.createDataFrame([("P",)], "parent string")}
+    whole, keys = accept(things(spark), RULE, parents), accept(things(spark), RULE, parents, ["id"])
+    assert keys.columns == ["_key"] and "Window" not in executed(keys)
+    assert sorted(r["_key"] for r in keys.collect()) == sorted(r["_key"] for r in whole.collect()) == ["A", "B", "D"]
+    checked = stage(check(things(spark), RULE, parents, ["id"]))
+    assert rows_of(accept_checked(checked, RULE, ["id"])) == rows_of(keys)
+
+
+def test_compressed_extracts_keep_their_rows(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 'say "x", y'), ("b", None), ("c", " z ")], "id string, note string")
+    write_csv(rows, f"{tmp_path}/plain.csv")
+    write_csv(rows, f"{tmp_path}/packed.csv", compression="gzip")
+    assert list(tmp_path.glob("packed.csv/*.csv.gz")) and list(tmp_path.glob("plain.csv/*.csv"))
+    assert rows_of(read_csv(spark, f"{tmp_path}/packed.csv")) == rows_of(read_csv(spark, f"{tmp_path}/plain.csv"))
