@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from creditlake.operators.keys import dedupe_first, dedupe_rejects, dense_keys, latest_per_key, newer_than, small_dense_keys, upsert
-from creditlake.operators.skew import lookup_join
+from creditlake.operators.skew import broadcast_limit, lookup_join
 
 
 def skewed(spark, n=30000):
@@ -80,3 +80,28 @@ def test_latest_and_upsert(spark):
 def test_one_row_per_key_is_cut_before_the_shuffle(spark):
     plan = latest_per_key(skewed(spark), "key", "id")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_lookups_are_broadcast_by_their_rows_not_by_their_files(spark, tmp_path):
+    """The files of all three lookups are far below the limit for broadcasts, the rows of the long one are not."""
+    rows = spark.range(300).select((F.col("id") * 1000).alias("k"), (F.col("id") % 3).alias("x"))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    for n, hint in ((250_000, "SortMergeJoin"), (10, "BroadcastHashJoin")):
+        path = f"{tmp_path}/{n}"
+        spark.range(0, n, 1, 2).select(F.col("id").alias("k"), F.lit(True).alias("known")).write.option("compression", "zstd").parquet(path)
+        assert sum(f.stat().st_size for f in tmp_path.glob(f"{n}/*.parquet")) < broadcast_limit(spark) / 5
+        joined = lookup_join(rows, spark.read.parquet(path), "k", stored=True)
+        for found in (joined, joined.filter("known")):
+            assert hint in plan(found) and "BuildLeft" not in plan(found)
+        assert joined.count() == 300 and joined.filter("known").count() == -(-min(n, 300_000) // 1000)
+    grown = lookup_join(rows, rows.groupBy("k").agg(F.count("*").alias("n")), "k", grows=True)
+    assert "BroadcastHashJoin" not in plan(grown) and grown.filter("n = 1").count() == 300
+
+
+@pytest.mark.parametrize("limit, expected", [("-1", -1), ("10485760b", 10 << 20), ("256k", 256 << 10), ("10MB", 10 << 20), ("7", 7)])
+def test_broadcast_limit_reads_sizes(spark, limit, expected):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        assert broadcast_limit(spark) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
