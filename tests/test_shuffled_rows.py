@@ -20,7 +20,7 @@ from creditlake.operators.rules import (
     repeated_keys,
 )
 from creditlake.operators.skew import lookup_join, stage
-from creditlake.plans.gold import GoldPlan
+from creditlake.plans.gold import GoldPlan, loan_balances
 from creditlake.plans.queries import _TESTED, _TESTED_SILVER
 from creditlake.plans.silver import RULES, SilverPlan
 from creditlake.sources.io import read_csv, write_csv
@@ -230,3 +230,24 @@ def test_compressed_extracts_keep_their_rows(spark, tmp_path):
     write_csv(rows, f"{tmp_path}/packed.csv", compression="gzip")
     assert list(tmp_path.glob("packed.csv/*.csv.gz")) and list(tmp_path.glob("plain.csv/*.csv"))
     assert rows_of(read_csv(spark, f"{tmp_path}/packed.csv")) == rows_of(read_csv(spark, f"{tmp_path}/plain.csv"))
+
+
+def test_what_grows_with_the_data_is_not_broadcast(spark):
+    """Rows of a fact, sums per loan and first rows per key would be broadcast by the size of their files."""
+    customers = stage(spark.range(90_000).select(F.concat(F.lit("C"), F.col("id").cast("string")).alias("customer_id")))
+    paid = stage(
+        spark.range(100).select(
+            F.concat(F.lit("R"), F.col("id").cast("string")).alias("repayment_id"), F.concat(F.lit("L"), (F.col("id") % 9).cast("string")).alias("loan_id"),
+            F.concat(F.lit("C"), F.col("id").cast("string")).alias("customer_id"), F.lit("2024-01-01").cast("date").alias("repayment_date"),
+            F.lit(1).cast("decimal(18,2)").alias("amount_paid"), F.lit("x").alias("payment_channel"),
+        )
+    )
+    fact = GoldPlan({"customers": customers, "repayments": paid}.__getitem__).table("fact_repayments")
+    assert fact.count() == 100 and "SortMergeJoin" in executed(fact) and "BuildLeft" not in executed(fact)
+    loans = stage(spark.range(9).select(F.concat(F.lit("L"), F.col("id").cast("string")).alias("loan_id"), F.lit(50).cast("decimal(18,2)").alias("loan_amount")))
+    recovered = paid.select("loan_id", F.lit(1).cast("decimal(18,2)").alias("amount_recovered")).limit(3)
+    balances = loan_balances(loans, paid, recovered)
+    assert "BroadcastHashJoin" not in executed(balances)
+    assert balances.agg(F.sum("outstanding_amount")).first()[0] == 450 - 100 - 3
+    checked = stage(check(things(spark), RULE, {"parents": spark.createDataFrame([("P",)], "parent string")}))
+    assert "BroadcastHashJoin" not in executed(count_rejected(checked)) and count_rejected(checked).first()["rejected"] == 6
