@@ -314,3 +314,21 @@ def test_words_of_a_layout_or_a_subject_drop_no_article():
 
 def test_tags_that_never_end_take_linear_time():
     assert main_text("<p>x</p>" + "<a " * 400_000, frozenset()).startswith("x")
+
+
+def test_style_trees_reach_into_articles(spark):
+    """A block that a host repeats in its articles goes; copies and near copies of an article stay whole."""
+    page = '<body><article><h1>Story {0}</h1><div class="prompt"><b>Liked this?</b> Tell your friends.</div><p>Words {0} of {1}, and more of them.</p></article></body>'
+    rows = [(i, f"http://mag.com/{i}", page.format(i, i * 7)) for i in range(12)]
+    copy = "<body><main><h1>One</h1><p class=first>First text of it.</p><p class=last>The last text.</p>{0}</main></body>"
+    rows += [(100 + i, "http://copy.com/x", copy.format("")) for i in range(9)]
+    rows += [(200 + i, f"http://near.com/{i}", copy.format(f"<i>{i}</i>")) for i in range(9)]
+    found = {r["page_id"]: r["text"] for r in extract_main_text(pages(spark, rows)).collect()}
+    assert all(found[i] == f"Story {i}\n\nWords {i} of {i * 7}, and more of them." for i in range(12))
+    assert found[103] == "One\n\nFirst text of it.\n\nThe last text."
+    assert found[205] == "One\n\nFirst text of it.\n\nThe last text.\n\n5"
+    tree = {(r["host"], r["path"]): r for r in style_tree(pages(spark, [*rows, rows[0]]), Limits()).collect()}
+    prompt = tree["mag.com", "/body/article/div.prompt"]
+    assert (prompt["pages"], prompt["host_pages"]) == (12, 13) and prompt["importance"] < 0.1
+    assert tree["mag.com", "/body/article/p"]["importance"] > 0.89
+    assert tree["copy.com", "/body/main/p.first"]["pages"] == 1 and tree["near.com", "/body/main/p.first"]["pages"] == 9
