@@ -18,13 +18,13 @@ from creditlake.llm.decontamination import remove_contaminated
 from creditlake.llm.jaccard import one_of_each_group
 from creditlake.llm.mixing import sampled_documents
 from creditlake.llm.pii import redact
-from creditlake.llm.toxicity import fit, remove_toxic
+from creditlake.llm.toxicity import Settings, fit, remove_toxic
 from creditlake.operators.skew import shared_folder
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the Kneser-Ney models call toxic; learned from the labelled rows of ``docs``."""
-    return remove_toxic(docs, fit(docs, table(spark, sf_dir, "labels")))
+    return remove_toxic(docs, fit(docs, table(spark, sf_dir, "labels"), Settings(pairs=True)))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from creditlake.llm.mixing import Mix, cells_of, rake, sampled_documents, topic_of, with_copies
 from creditlake.llm.quotes import link_quotes
 from creditlake.llm.sitetree import Limits, extract_main_text, main_text, style_tree
+import __spark_entry__ as entry
 from creditlake.llm import toxicity
 from creditlake.llm.toxicity import Settings, fit, held_out, remove_toxic, toxicity_scores, with_score
 from creditlake.llm.urls import intervals, temporal_list_join
@@ -332,3 +333,78 @@ def test_style_trees_reach_into_articles(spark):
     assert (prompt["pages"], prompt["host_pages"]) == (12, 13) and prompt["importance"] < 0.1
     assert tree["mag.com", "/body/article/p"]["importance"] > 0.89
     assert tree["copy.com", "/body/main/p.first"]["pages"] == 1 and tree["near.com", "/body/main/p.first"]["pages"] == 9
+
+
+def expression_corpus(n):
+    """Toxic texts hold an expression of two words; the others hold both words, apart or turned round."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(200)]
+    rows, labels = [], []
+    for i in range(n):
+        text = rng.choices(words, k=rng.randrange(20, 40))
+        at = rng.randrange(2, len(text) - 2)
+        bad = i % 4 == 0
+        text[at:at] = ["dark", "horse"] if bad else rng.choice([["horse", "dark"], ["horse", rng.choice(words), "dark"], ["dark", rng.choice(words), "horse"]])
+        rows.append((i, " ".join(text)))
+        labels.append((i, 1, int(bad)))
+    return rows, labels
+
+
+def test_toxic_expressions_are_known_by_their_pairs(spark, tmp_path):
+    rows, labels = expression_corpus(600)
+    docs(spark, [*rows, (9000, "dark"), (9001, ""), (9002, None)]).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    found = {r["doc_id"]: r for r in entry.queries()["op10_kneser_ney_toxicity"](spark, str(tmp_path)).collect()}
+    assert len(found) == 603 and found[9001]["score"] == found[9002]["score"]
+    wrong = [i for i, _, bad in labels if found[i]["held_out"] and found[i]["predicted"] != bad]
+    assert sum(r["held_out"] for r in found.values()) > 150 and len(wrong) <= 2
+
+
+def test_pairs_add_what_their_cells_have_beyond_words(spark, monkeypatch):
+    assert [len(k) for k in toxicity.pairs_of(b"A b a  b c")] == [3, 3] and [len(k) for k in toxicity.pairs_of(b"a")] == [0, 0]
+    assert toxicity.pairs_of(b"a b")[0] != toxicity.pairs_of(b"b a")[0] and toxicity.pairs_of(b"x, b")[1] == toxicity.keys_of(b"b")
+    rows, labels = expression_corpus(240)
+    table, known = docs(spark, rows), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    settings = Settings(pairs=True, pair_shares=(1.0,))
+    truth = {i: bad for i, _, bad in labels if zlib.crc32(str(i).encode()) % 3 != 1}
+    folds = {r["doc_id"]: r["fold"] for r in table.select("doc_id", F.pmod(F.xxhash64("text"), F.lit(toxicity.FOLDS)).alias("fold")).collect()}
+    train = [(folds[i], text.split(), truth[i]) for i, text in rows if i in truth]
+    single, _ = plain_evidence([((i, t), folds[i]) for i, t in rows], labels, [w for w in {w for _, t, _ in train for w in t}], settings.prior)
+    step = dict(zip({w for _, t, _ in train for w in t}, (max(-toxicity.STEPS, min(toxicity.STEPS, round(e / toxicity.STEP))) for e in single), strict=True))
+    held = [(fold, set(zip(t, t[1:])), bad) for fold, t, bad in train]
+
+    def cell(pair, without=None):
+        k = [sum(pair in found and bad == c and fold != without for fold, found, bad in held) for c in (1, 0)]
+        return (step[pair[1]], *[n if n <= 4 else math.floor(4 + 2 * math.log2(n / 4)) for n in k])
+
+    sizes = [[sum(len(found) for fold, found, bad in held if fold == f and bad == c) for c in (1, 0)] for f in range(toxicity.FOLDS)]
+    sums = {}
+    for fold, found, bad in held:
+        for pair in found:
+            sums.setdefault(cell(pair, fold), [0, 0])[1 - bad] += sum(s[1 - bad] for s in sizes) / toxicity.FOLDS / sizes[fold][1 - bad]
+    share = [sum(s[j] for s in sums.values()) for j in (0, 1)]
+    share = [n / sum(share) for n in share]
+
+    def beyond(pair):
+        at, *k = cell(pair) if pair[1] in step else (0, 0, 0)
+        if not any(k):
+            return 0.0
+        below = [share[0] * math.exp(at * toxicity.STEP), share[1]]
+        k = [n if n <= 4 else 4 * 2 ** ((n - 3.5) / 2) for n in k]
+        off = [min(n, toxicity.DISCOUNT) for n in k]
+        r = sums.get(cell(pair), [0, 0])
+        p = [(n - d + sum(off) * b / sum(below)) / sum(k) for n, d, b in zip(k, off, below, strict=True)]
+        p = [math.log((n + settings.prior * q) / (sum(r) + settings.prior) / s) for n, q, s in zip(r, p, share, strict=True)]
+        return p[0] - p[1] - at * toxicity.STEP
+
+    asked = [t for _, t in rows[:12]] + ["dark horse", "horse dark", "dark unknown horse", "w1 w2 w1 w2"]
+    words, _ = plain_evidence([((i, t), folds[i]) for i, t in rows], labels, asked, settings.prior)
+    for common in (1 << 20, 30):
+        monkeypatch.setattr(toxicity, "COMMON", common)
+        model = fit(table, known, settings)
+        scored, name = with_score(docs(spark, [*enumerate(asked)]), model)
+        got = {r["doc_id"]: r[name] for r in scored.collect()}
+        for i, (text, evidence) in enumerate(zip(asked, words, strict=True)):
+            t = text.split()
+            evidence += sum(beyond(pair) for pair in set(zip(t, t[1:])))
+            assert got[i] == pytest.approx(model.score(evidence, len(set(t))), rel=1e-4)
